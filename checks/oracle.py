@@ -220,14 +220,14 @@ select * from (select *, row_number() over (partition by url order by dt, ord) a
     "per_label": """
 select country, date_trunc('month', dt) as month, label, count(*) as n,
   sum(case label when 'bullish' then 1 when 'bearish' then -1 else 0 end * cast(round(score * 1000000) as bigint)) as units,
-  min(row(dt, url)) as at
+  min(row(dt, url)) as first_at
 from confident where country is not null group by 1, 2, 3""",
     "rollup": f"""
 select {iso_day('month')} as "Year-Month", country as "COUNTRY", cast(sum(n) as bigint) as article_count,
   cast(coalesce(sum(n) filter (label = 'bullish'), 0) as bigint) as pos_count,
   cast(coalesce(sum(n) filter (label = 'bearish'), 0) as bigint) as neg_count,
   cast(coalesce(sum(n) filter (label = 'neutral'), 0) as bigint) as neu_count,
-  arg_min(label, row(-n, at)) as majority_sentiment,
+  arg_min(label, row(-n, first_at)) as majority_sentiment,
   case when sum(units) > 0 then 'bullish' when sum(units) < 0 then 'bearish' else 'neutral' end as avg_sentiment_label,
   cast(sum(units) as double) / 1000000 / cast(sum(n) as double) as avg_sentiment
 from per_label group by country, month""",

@@ -37,13 +37,14 @@ def _in_row(df: DataFrame, text: str, out: str, profile: list[tuple]) -> DataFra
         weights[lang][token] += weight
     tokens = sorted({token for words in weights.values() for token in words})
 
+    def hits(words: list[str]) -> Column:
+        return F.size(F.filter(F.col("_hits"), lambda w: w.isin(words))).cast("long")
+
     def score(lang: str) -> Column:
         by_weight = defaultdict(list)
         for token, weight in weights[lang].items():
             by_weight[weight].append(token)
-        return sum(
-            (F.size(F.filter(F.col("_hits"), lambda w, ts=ts: w.isin(ts))).cast("long") * weight
-             for weight, ts in by_weight.items()), F.lit(0).cast("long"))
+        return sum((hits(words) * weight for weight, words in by_weight.items()), F.lit(0).cast("long"))
 
     ranked = F.array(*[
         F.struct(score(lang).alias("score"), F.lit(-i).alias("order"), F.lit(lang).alias("lang"))
@@ -72,8 +73,8 @@ def add_language_name(df: DataFrame, code: str, out: str, config: PipelineConfig
     """Add the display name of a language code, ``Unknown`` if it has none."""
     names = entries(config.language_names, ("code", "name"), config, df.sparkSession)
     if isinstance(names, DataFrame):
-        side = names.select(F.col("code").alias("_code"), F.col("name").alias(out))
-        joined = lookup_join(df.withColumn("_code", F.col(code)), side, "_code", "left", df.columns, config)
-        return joined.drop("_code").withColumn(out, default_text(F.col(out), "Unknown"))
+        side = names.select(F.col("code").alias("_lookup"), F.col("name").alias(out))
+        joined = lookup_join(df.withColumn("_lookup", F.col(code)), side, "_lookup", "left", df.columns, config)
+        return joined.drop("_lookup").withColumn(out, default_text(F.col(out), "Unknown"))
     literal = F.create_map(*[F.lit(x) for pair in names for x in pair])
     return df.withColumn(out, default_text(literal[F.col(code)], "Unknown"))

@@ -60,12 +60,14 @@ def _count_in_row(df: DataFrame, text: str, polarity: list[tuple], config: Pipel
     kind_of: dict[str, str] = {}
     for token, kind in polarity:
         kind_of[token] = min(kind, kind_of.get(token, kind))
-    df = df.withColumn("_hits", F.filter(_tokens(text, config), lambda w: w.isin(list(kind_of))))
-    for kind in KINDS:
+
+    def hits(kind: str) -> Column:
         words = [t for t, k in kind_of.items() if k == kind]
-        df = df.withColumn(
-            f"_{kind}", F.size(F.filter(F.col("_hits"), lambda w, ws=words: w.isin(ws))).cast("long"))
-    return df.drop("_hits")
+        return F.size(F.filter(F.col("_hits"), lambda w: w.isin(words))).cast("long")
+
+    return (df.withColumn("_hits", F.filter(_tokens(text, config), lambda w: w.isin(list(kind_of))))
+            .withColumns({f"_{kind}": hits(kind) for kind in KINDS})
+            .drop("_hits"))
 
 
 def _count_by_join(df: DataFrame, key: str, text: str, polarity: DataFrame,
