@@ -8,6 +8,7 @@ ones, and copies are added.
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -134,14 +135,29 @@ union all select r_name, 'GPE' from region union all select 'based in', 'PERSON'
 _NEEDS = {name: [n for n in SQL if n != name and re.search(rf"\b{n}\b", text)] for name, text in SQL.items()}
 
 
+# Tables with much work per row, and their keys.
+SPREAD_KEYS = {"documents": ["doc_id"], "conversations": ["conv_id", "turn"], "pages": ["page_id"],
+               "events": ["event_id"], "orders": ["o_orderkey"]}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. A single file is read by one task, so its rows are spread
+    over the cores; a table of many files is left as it is."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if name in SPREAD_KEYS and os.path.isfile(path):
+        df = df.repartition(spark.sparkContext.defaultParallelism, *SPREAD_KEYS[name])
+    return df
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture, or a driver table, as a DataFrame."""
     if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return table(spark, sf_dir, name)
     text = SQL[name]
-    for table in TABLES:
-        if re.search(rf"\b{table}\b", text):
-            spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+    for source in TABLES:
+        if re.search(rf"\b{source}\b", text):
+            table(spark, sf_dir, source).createOrReplaceTempView(source)
     for need in _NEEDS[name]:
         fixture(spark, sf_dir, need).createOrReplaceTempView(need)
     return spark.sql(text)

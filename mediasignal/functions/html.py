@@ -9,15 +9,17 @@ from mediasignal.functions.text import squeeze
 
 
 def _blocks(*tags: str) -> str:
-    return "|".join(rf"<{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in tags)
+    """Elements with all they hold; the opening ``<`` is left to the caller."""
+    return "|".join(rf"{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in tags)
 
 
-HIDDEN = r"(?is)<!--.*?-->|" + _blocks("script", "style", "noscript", "template", "svg")
-BOILERPLATE = "(?is)" + _blocks("nav", "footer", "aside", "form", "button", "select", "iframe")
+# A literal first character lets the matcher skip plain text quickly.
+HIDDEN = "(?is)<(?:!--.*?-->|" + _blocks("script", "style", "noscript", "template", "svg") + ")"
+BOILERPLATE = "(?is)<(?:" + _blocks("nav", "footer", "aside", "form", "button", "select", "iframe") + ")"
 CONTAINERS = [rf"(?is)<{t}(?:\s[^>]*)?>(.*)</{t}\s*>" for t in ("article", "main", "body")]
 INLINE_TAG = (r"(?i)</?(?:a|abbr|b|cite|code|em|font|i|kbd|mark|q|s|small|span|strong|sub|sup|u)"
               r"(?:\s[^>]*)?/?>")
-ANY_TAG = r"</?[A-Za-z][^>]*>|<![^>]*>"
+ANY_TAG = r"<(?:/?[A-Za-z]|!)[^>]*>"
 
 # --- fixed values: named character references (``&amp;`` is handled last) ---
 NAMED = {
@@ -46,8 +48,9 @@ def unescape(text: Column) -> Column:
         lambda acc, r: F.replace(acc, F.concat(F.lit("&#"), r, F.lit(";")), _character(r)))
     for name, char in NAMED.items():
         out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-    out = F.replace(out, F.lit("&amp;"), F.lit("&"))
-    return F.when(text.contains("&"), out).otherwise(text)
+    other = "&(?:#[0-9xX]|(?:" + "|".join(NAMED) + ");)"
+    out = F.when(text.rlike(other), out).otherwise(text)
+    return F.when(text.contains("&"), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(text)
 
 
 def add_main_text(df: DataFrame, html: str, out: str) -> DataFrame:

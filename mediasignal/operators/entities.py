@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,11 @@ from mediasignal.operators.lookup import entries, lookup_join
 
 # A word may hold inner punctuation ("Coca-Cola", "J.P", "AT&T") but not end in it.
 NAME_WORD = r"[\p{L}\p{N}#_]+(?:[&.'-][\p{L}\p{N}#_]+)*"
-MONEY = (r"(?:[$€£¥]|\b(?:USD|EUR|GBP|JPY|CHF|CNY))\s?[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?"
+# --- fixed values: currency signs and codes ---
+SIGNS = ("$", "€", "£", "¥")
+CODES = ("USD", "EUR", "GBP", "JPY", "CHF", "CNY")
+MONEY = (rf"(?:[{''.join(SIGNS)}]|\b(?:{'|'.join(CODES)}))\s?"
+         r"[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?"
          r"(?:\s?(?:thousand|million|billion|trillion|bn|mn|tn|k|m)\b)?")
 
 
@@ -24,8 +29,10 @@ def name_words(text: Column) -> Column:
 
 
 def money_amounts(text: Column) -> Column:
-    return F.coalesce(F.regexp_extract_all(text, F.lit(MONEY), F.lit(0)),
-                      F.array().cast("array<string>"))
+    """Amounts in text order. Most texts name no currency, which is cheap to see."""
+    named = reduce(lambda a, b: a | b, [text.contains(c) for c in (*SIGNS, *CODES)])
+    return F.when(named, F.regexp_extract_all(text, F.lit(MONEY), F.lit(0))).otherwise(
+        F.array().cast("array<string>"))
 
 
 def add_entities(df: DataFrame, key: str, text: str, out: str, config: PipelineConfig) -> DataFrame:

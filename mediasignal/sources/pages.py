@@ -30,7 +30,11 @@ def page_texts(pages: DataFrame) -> DataFrame:
 
 
 def join_pages(articles: DataFrame, pages: DataFrame) -> DataFrame:
-    """Articles with their page text; without a usable page ``page_ok`` is false."""
-    return (articles.join(page_texts(pages), "URL", "left")
+    """Articles with their page text; without a usable page ``page_ok`` is false.
+
+    A merge join: the texts grow with the data, so they are never broadcast, and
+    the joined partitions are sized by the bytes of both sides.
+    """
+    return (articles.join(page_texts(pages).hint("merge"), "URL", "left")
             .withColumn("page_ok", F.coalesce(F.col("page_ok"), F.lit(False)))
             .withColumn("text_full", F.when(F.col("page_ok"), F.col("text_full")).otherwise("")))

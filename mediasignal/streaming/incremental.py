@@ -8,7 +8,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from mediasignal import schemas
 from mediasignal.config import PipelineConfig
-from mediasignal.plans.enrich import enrich
+from mediasignal.plans.enrich import base_articles, enrich
 
 ENRICHED_BY_BATCH = StructType([*schemas.ARTICLES_ENRICHED.fields, StructField("batch", LongType())])
 
@@ -25,8 +25,9 @@ def enrich_new_files(spark: SparkSession, landing: str, pages: DataFrame, sink:
     def write(rows: DataFrame, batch: int) -> None:
         known = (spark.read.schema(ENRICHED_BY_BATCH).parquet(sink)
                  .where(F.col("batch") < batch).select(F.col("URL").alias("_known"))) if batch else None
-        fresh = rows if known is None else rows.join(
-            known, F.col("URL").eqNullSafe(F.col("_known")), "left_anti")
+        fresh = base_articles(rows, config)
+        if known is not None:
+            fresh = fresh.join(known, F.col("URL").eqNullSafe(F.col("_known")), "left_anti")
         result = enrich(fresh, pages, config)
         for field in schemas.ARTICLES_ENRICHED.fields:
             if field.name not in result.columns:
