@@ -140,11 +140,16 @@ SPREAD_KEYS = {"documents": ["doc_id"], "conversations": ["conv_id", "turn"], "p
                "events": ["event_id"], "orders": ["o_orderkey"]}
 
 
+_schemas: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. A single file is read by one task, so its rows are spread
     over the cores; a table of many files is left as it is."""
     path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
+    reader = spark.read.schema(_schemas[path]) if path in _schemas else spark.read
+    df = reader.parquet(path)
+    _schemas[path] = df.schema
     if name in SPREAD_KEYS and os.path.isfile(path):
         df = df.repartition(spark.sparkContext.defaultParallelism, *SPREAD_KEYS[name])
     return df

@@ -65,18 +65,23 @@ def flatten(table: Mapping) -> list[tuple]:
     ]
 
 
-def is_bounded(table: DataFrame, config: PipelineConfig) -> bool:
-    """True if a count of at most ``broadcast_rows + 1`` rows proves the table small."""
+def size_of(table: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a narrow table; partial sums only, no row travels."""
     width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns),
                 F.lit(16))
-    rows, size = (
-        table.limit(config.broadcast_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)))
-        .first()
-    )
+    rows, size = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
+    return rows, size
+
+
+def within_bounds(rows: int, size: int, config: PipelineConfig) -> bool:
     return rows <= config.broadcast_rows and size <= config.broadcast_bytes
 
 
+def is_bounded(table: DataFrame, config: PipelineConfig) -> bool:
+    """True if a count proves the table small enough to broadcast."""
+    return within_bounds(*size_of(table), config)
+
+
 def lookup_join(facts: DataFrame, table: DataFrame, on: str, how: str, spread: Sequence[str],
                 config: PipelineConfig) -> DataFrame:
     """Join ``facts`` with a lookup ``table`` on column ``on``.

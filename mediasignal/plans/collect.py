@@ -17,10 +17,14 @@ from mediasignal.sources.responses import hits
 FIRST = ("Date", "win", "code", "ord", "pos")
 
 
-def collect(responses: DataFrame, run_date: date | None = None) -> DataFrame:
-    """Articles of all landed replies, or of the week that holds ``run_date``."""
+def found_articles(responses: DataFrame, run_date: date | None = None) -> DataFrame:
+    """Article rows, copies included, of all landed replies or of one week."""
     if run_date is not None:
         day = F.lit(run_date.isoformat()).cast("date")
         responses = responses.where(F.col("day").between(dates.week_start(day), dates.week_end(day)))
-    rows = article_rows(drop_empty_url(hits(responses)))
-    return keep_first(rows, "URL", FIRST).select(*ARTICLES_RAW.fieldNames())
+    return article_rows(drop_empty_url(hits(responses)))
+
+
+def collect(responses: DataFrame, run_date: date | None = None) -> DataFrame:
+    """Unique articles of all landed replies, or of the week that holds ``run_date``."""
+    return keep_first(found_articles(responses, run_date), "URL", FIRST).select(*ARTICLES_RAW.fieldNames())

@@ -12,12 +12,12 @@ from mediasignal.operators.columns import merge_spellings, rename, select_availa
 from mediasignal.operators.dedupe import keep_first
 from mediasignal.operators.entities import add_entities
 from mediasignal.operators.language import add_language, add_language_name, language_basis
-from mediasignal.operators.lookup import has_joined_tables, resolve_tables
+from mediasignal.operators.lookup import has_joined_tables, resolve_tables, size_of, within_bounds
 from mediasignal.operators.sentiment import LABEL, SCORE, add_no_content, add_sentiment
 from mediasignal.operators.translate import add_translation
 from mediasignal.schemas import ENRICHED_COLUMNS
 from mediasignal.session import staged
-from mediasignal.sources.pages import join_pages
+from mediasignal.sources.pages import join_pages, pages_of
 
 # Columns of an enriched row before it meets its base row.
 RESULT_COLUMNS = ["URL", "Translated Title", "Translated Text", "Language", LABEL, SCORE,
@@ -88,7 +88,7 @@ def enrich_rows(articles: DataFrame, pages: DataFrame, config: PipelineConfig) -
     config = resolve_tables(config, articles.sparkSession)
     named = merge_spellings(articles, URL=("url", "URL"), Title=("title", "Title"))
     wanted = named.select("URL", "Title").where(urls.eligible(F.col("URL")))
-    full = _signals(wanted, pages, config)
+    full = _signals(wanted, _needed(pages, wanted, size_of(wanted.select("URL")), config), config)
     return full.select(
         "URL", "Translated Title", "Translated Text", "Language", f"`{LABEL}`", f"`{SCORE}`",
         F.col("Enriched Keywords").alias("Keywords"),
@@ -110,8 +110,13 @@ def enrich(articles: DataFrame, pages: DataFrame, config: PipelineConfig) -> Dat
     a single shuffle by URL.
     """
     base = base_articles(articles, config)
-    if "URL" not in base.columns or articles.where(urls.eligible(F.col("URL"))).isEmpty():
+    if "URL" not in base.columns:
+        return base
+    wanted = articles.select("URL").where(urls.eligible(F.col("URL")))
+    size = size_of(wanted)
+    if size[0] == 0:
         return base
+    pages = _needed(pages, wanted, size, config)
     config = resolve_tables(config, articles.sparkSession)
     rows = base if "Title" in base.columns else base.withColumn("Title", F.lit(""))
     full = _signals(rows, pages, config)
@@ -121,6 +126,10 @@ def enrich(articles: DataFrame, pages: DataFrame, config: PipelineConfig) -> Dat
     return full.select(*[f"`{c}`" for c in base.columns], *results, domain)
 
 
+def _needed(pages: DataFrame, wanted: DataFrame, size: tuple[int, int], config: PipelineConfig) -> DataFrame:
+    return pages_of(pages, wanted) if within_bounds(*size, config) else pages
+
+
 def _signals(rows: DataFrame, pages: DataFrame, config: PipelineConfig) -> DataFrame:
     joined = join_pages(rows, pages)
     if has_joined_tables(config):

@@ -14,7 +14,7 @@ from mediasignal.config import PipelineConfig
 from mediasignal.functions import dates
 from mediasignal.operators.quality import stage_summary
 from mediasignal.operators.score import score
-from mediasignal.plans.collect import collect
+from mediasignal.plans.collect import collect, found_articles
 from mediasignal.plans.enrich import enrich
 from mediasignal.sources.datasets import Datasets
 
@@ -40,14 +40,14 @@ def run_stages(datasets: Datasets, responses: DataFrame | None = None, pages: Da
 
     if "collect" in stages:
         day = _as_date(run_date)
-        articles = collect(responses, day)
+        articles, found = collect(responses, day), found_articles(responses, day)
         if keep_weeks:
             week = dates.week_start(F.lit(day.isoformat()).cast("date"))
             wrote = datasets.write(config.raw_dataset, articles.withColumn("run_week", week),
-                                   on_empty="skip", partition_by="run_week")
+                                   on_empty="skip", partition_by="run_week", probe=found)
             stored = lambda: datasets.read(config.raw_dataset).where(F.col("run_week") == week)
         else:
-            wrote = datasets.write(config.raw_dataset, articles, on_empty="skip")
+            wrote = datasets.write(config.raw_dataset, articles, on_empty="skip", probe=found)
             stored = lambda: datasets.read(config.raw_dataset, schema=schemas.ARTICLES_RAW)
         base = stored() if wrote else datasets.spark.createDataFrame([], schemas.ARTICLES_RAW)
         summaries.append(stage_summary("collect", responses, base))
@@ -56,7 +56,7 @@ def run_stages(datasets: Datasets, responses: DataFrame | None = None, pages: Da
         if base is None:
             base = datasets.read(config.raw_dataset)
         result = enrich(base, pages, config)
-        wrote = datasets.write(config.enriched_dataset, result, on_empty="skip")
+        wrote = datasets.write(config.enriched_dataset, result, on_empty="skip", probe=base)
         done = datasets.read(config.enriched_dataset) if wrote else result
         summaries.append(stage_summary("enrich", base, done))
 

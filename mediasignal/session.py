@@ -10,8 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 _local_root: list[str] = []
 
 
-def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the jobs rely on; the caller's ``conf`` wins."""
+# Shuffled bytes one task should get before adaptive execution merges small partitions.
+SHUFFLE_TASK_BYTES = 256 * 1024 * 1024
+
+
+def build_session(app: str, master: str | None = None, input_bytes: int | None = None,
+                  **conf: str) -> SparkSession:
+    """A session with the settings the jobs rely on; the caller's ``conf`` wins.
+
+    ``input_bytes`` sizes the shuffles: they start with a partition per 256 MB of
+    input, and adaptive execution merges those that turn out small.
+    """
+    if input_bytes:
+        parts = min(max(input_bytes // SHUFFLE_TASK_BYTES, 200), 400_000)
+        conf = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts), **conf}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

@@ -41,15 +41,17 @@ class Datasets:
         return df
 
     def write(self, name: str, df: DataFrame, on_empty: str = "write",
-              partition_by: str | None = None) -> bool:
+              partition_by: str | None = None, probe: DataFrame | None = None) -> bool:
         """Overwrite a dataset. With ``on_empty="skip"`` an empty result leaves it as it was.
 
-        With ``partition_by`` only the partitions present in ``df`` are replaced.
-        Returns whether anything was written.
+        ``probe`` is a frame that is empty exactly if ``df`` is and costs less to
+        look at; the shuffles of ``df`` then run only once. With ``partition_by``
+        only the partitions present in ``df`` are replaced. Returns whether
+        anything was written.
         """
         if on_empty not in ("write", "skip"):
             raise ValueError(f"on_empty must be 'write' or 'skip', not {on_empty!r}")
-        if on_empty == "skip" and df.isEmpty():
+        if on_empty == "skip" and (df if probe is None else probe).isEmpty():
             return False
         writer = df.write.mode("overwrite")
         if partition_by:

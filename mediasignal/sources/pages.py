@@ -29,6 +29,16 @@ def page_texts(pages: DataFrame) -> DataFrame:
         F.col("text").alias("text_full"))
 
 
+def pages_of(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Landed pages of the ``wanted`` URLs, a table shown to be small.
+
+    A week's articles against years of landed pages: the others are dropped
+    while scanning, before any markup is worked on.
+    """
+    keys = wanted.select(F.col("URL").alias("url")).distinct()
+    return pages.join(F.broadcast(keys), "url", "left_semi")
+
+
 def join_pages(articles: DataFrame, pages: DataFrame) -> DataFrame:
     """Articles with their page text; without a usable page ``page_ok`` is false.
 

@@ -149,7 +149,7 @@ def test_one_pass_equals_joined_results(spark):
 
 def test_one_shuffle_per_table_and_no_broadcast_of_texts(spark):
     arts = spark.createDataFrame([article("https://a.example/1")], ARTICLES_RAW)
-    plan = enrich(arts, spark.createDataFrame([], PAGES), CONFIG)._jdf.queryExecution().executedPlan().toString()
+    plan = enrich(arts, spark.createDataFrame([], PAGES), replace(CONFIG, broadcast_rows=0))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(URL") == 2
     assert "SortMergeJoin" in plan and "Broadcast" not in plan and "Python" not in plan
 
@@ -294,3 +294,12 @@ def test_entity_hook(spark):
     df = spark.createDataFrame([("x",), ("bad",), ("",)], "t string").coalesce(1)
     got = {r.t: r.x for r in add_entities(df, "t", "t", "x", replace(CONFIG, entity_batch=find)).collect()}
     assert got == {"x": "A, Z", "bad": "", "": ""}
+
+
+def test_pages_of_other_articles_are_dropped_while_scanning(spark):
+    arts = spark.createDataFrame([article("https://a.example/1")], ARTICLES_RAW)
+    pages = spark.createDataFrame([(f"https://a.example/{i}", 200, EN50) for i in range(9)], PAGES)
+    few, many = (enrich(arts, pages, replace(CONFIG, broadcast_rows=n)) for n in (1, 0))
+    assert few.collect() == many.collect()
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and plan.index("LeftSemi") > plan.index("regexp_replace")
