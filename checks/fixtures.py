@@ -12,6 +12,7 @@ import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mediasignal.config import PipelineConfig
 
@@ -32,8 +33,8 @@ def values(rows, columns: str) -> str:
 PROFILE = {
     "de": dict.fromkeys("der die und den von das".split(), 1),
     "en": dict.fromkeys("the of and to is that".split(), 1),
-    "es": dict.fromkeys("la que el y los se".split(), 1),
-    "fr": {**dict.fromkeys("la le et les des un".split(), 1), "de": 2},
+    "es": {**dict.fromkeys("la que el y se".split(), 1), "los": 2},
+    "fr": {**dict.fromkeys("la le les des un".split(), 1), "et": 2},
 }
 NAMES = {"en": "English", "fr": "French", "de": "German", "es": "Spanish"}
 LEXICON = {"der": "the", "die": "the", "und": "and", "le": "the", "les": "the", "et": "and",
@@ -187,3 +188,13 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, sf_dir, "fx_responses")
+
+
+def landed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_articles`` as landed replies, one per article."""
+    body = F.to_json(F.struct(F.array(F.struct(
+        "url", "title", F.col("country").alias("sourcecountry"), F.array("keywords").alias("themes")))
+        .alias("articles")))
+    return fixture(spark, sf_dir, "fx_articles").select(
+        "ord", F.to_date(F.left("dt", F.lit(10))).alias("day"), F.lit(0).alias("win"),
+        F.lit("KE").alias("code"), F.lit(200).alias("status"), body.alias("body"))

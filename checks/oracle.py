@@ -140,6 +140,26 @@ select s.key, coalesce(f.names, '') as names from {source} s left join (
 on s.key = f.key"""
 
 
+def per_label(source: str) -> str:
+    return f"""
+select country, date_trunc('month', dt) as month, label, count(*) as n,
+  sum(case label when 'bullish' then 1 when 'bearish' then -1 else 0 end * cast(round(score * 1000000) as bigint)) as units,
+  min(row(dt, url)) as first_at
+from ({source}) where country is not null group by 1, 2, 3"""
+
+
+def rollup(source: str) -> str:
+    return f"""
+select {iso_day('month')} as "Year-Month", country as "COUNTRY", cast(sum(n) as bigint) as article_count,
+  cast(coalesce(sum(n) filter (label = 'bullish'), 0) as bigint) as pos_count,
+  cast(coalesce(sum(n) filter (label = 'bearish'), 0) as bigint) as neg_count,
+  cast(coalesce(sum(n) filter (label = 'neutral'), 0) as bigint) as neu_count,
+  arg_min(label, row(-n, first_at)) as majority_sentiment,
+  case when sum(units) > 0 then 'bullish' when sum(units) < 0 then 'bearish' else 'neutral' end as avg_sentiment_label,
+  cast(sum(units) as double) / 1000000 / cast(sum(n) as double) as avg_sentiment
+from {source} group by country, month"""
+
+
 CTES: dict[str, str] = {
     **SQL,
     # --- collect ---
@@ -217,20 +237,13 @@ select ord, url, {parsed('dt')} as dt, country, {norm_label('label')} as label,
     "deduped": """
 select * from (select *, row_number() over (partition by url order by dt, ord) as rn from scored_0 where dt is not null) where rn = 1""",
     "confident": "select * from deduped where score >= 0.70",
-    "per_label": """
-select country, date_trunc('month', dt) as month, label, count(*) as n,
-  sum(case label when 'bullish' then 1 when 'bearish' then -1 else 0 end * cast(round(score * 1000000) as bigint)) as units,
-  min(row(dt, url)) as first_at
-from confident where country is not null group by 1, 2, 3""",
-    "rollup": f"""
-select {iso_day('month')} as "Year-Month", country as "COUNTRY", cast(sum(n) as bigint) as article_count,
-  cast(coalesce(sum(n) filter (label = 'bullish'), 0) as bigint) as pos_count,
-  cast(coalesce(sum(n) filter (label = 'bearish'), 0) as bigint) as neg_count,
-  cast(coalesce(sum(n) filter (label = 'neutral'), 0) as bigint) as neu_count,
-  arg_min(label, row(-n, first_at)) as majority_sentiment,
-  case when sum(units) > 0 then 'bullish' when sum(units) < 0 then 'bearish' else 'neutral' end as avg_sentiment_label,
-  cast(sum(units) as double) / 1000000 / cast(sum(n) as double) as avg_sentiment
-from per_label group by country, month""",
+    "per_label": per_label("select dt, url, country, label, score from confident"),
+    "rollup": rollup("per_label"),
+    "run_scored": f"""
+select {parsed('"Date"')} as dt, "URL" as url, "Country" as country, {norm_label('"Model Sentiment Label"')} as label,
+  "Model Sentiment Score" as score from enriched where "Model Sentiment Score" >= 0.70""",
+    "run_per_label": per_label("select * from run_scored"),
+    "run_rollup": rollup("run_per_label"),
     # --- grid ---
     "weeks": """
 select distinct cast(date_trunc('week', ts) as date) as week_start, cast(date_trunc('week', ts) as date) + 6 as week_end from events""",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -28,7 +30,7 @@ from mediasignal.plans.collect import collect
 from mediasignal.plans.runner import run_stages
 from mediasignal.session import staging_root
 from mediasignal.sources.datasets import Datasets
-from mediasignal.sources.pages import join_pages
+from mediasignal.sources.pages import join_pages, page_texts
 from mediasignal.sources.responses import hits
 from mediasignal.streaming.incremental import enrich_new_files, read_enriched
 
@@ -58,8 +60,6 @@ def table_config(spark: SparkSession, sf_dir: str, **over) -> object:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    import uuid
-
     return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
@@ -548,7 +548,6 @@ def with_texts(body: str) -> str:
 
 @query("nlp_extract", "select url, page_ok, text from page_texts")
 def _(spark, d):
-    from mediasignal.sources.pages import page_texts
     return page_texts(fx.pages(spark, d)).select(F.col("URL").alias("url"), "page_ok", F.col("text_full").alias("text"))
 
 
@@ -563,6 +562,13 @@ def _(spark, d):
     return _texts(spark, d).select("id", language_basis(F.col("body"), F.col("title"), CONFIG).alias("basis"))
 
 
+@query("nlp_language_confusion", "select f.lang, l.code, count(*) as n from fx_texts f join (" + with_texts(
+    o.language("__T__")) + ") l on f.id = l.key where f.lang <> '' group by 1, 2")
+def _(spark, d):
+    found = add_language(_texts(spark, d).where("lang <> ''"), "id", "body", "code", CONFIG)
+    return found.groupBy("lang", "code").agg(F.count(F.lit(1)).alias("n"))
+
+
 LANGUAGE_SQL = with_texts("select key as id, code from (" + o.language("__T__") + ")")
 
 
@@ -737,11 +743,28 @@ def _(spark, d):
         "URL", "Language", f"`{LABEL}`", f"`{SCORE}`", "`Enriched Keywords`")
 
 
+def _run_all(spark, d, keep_weeks):
+    store = Datasets(spark, new_folder(spark, "stages"))
+    summary = run_stages(store, fx.landed_articles(spark, d), fx.pages(spark, d), CONFIG, every_week=True,
+                         keep_weeks=keep_weeks)
+    return store, summary
+
+
 @query("stage_run", """
-select 'collect' as stage, (select count(*) from fx_responses) as rows_in, (select count(*) from week) as rows_out,
-  cast((select count(*) from week) as double) / greatest((select count(*) from fx_responses), 1) * 100 as percent
-union all select 'enrich', (select count(*) from week), (select count(*) from week), case when (select count(*) from week) = 0 then 0.0 else 100.0 end
-union all select 'score', (select count(*) from week), 0, 0.0""")
+select stage, rows_in, rows_out, cast(rows_out as double) / greatest(rows_in, 1) * 100 as percent from (
+  select 'collect' as stage, (select count(*) from fx_articles) as rows_in, (select count(*) from base) as rows_out
+  union all select 'enrich', (select count(*) from base), (select count(*) from base)
+  union all select 'score', (select count(*) from base), (select count(*) from run_rollup))""")
 def _(spark, d):
-    store = Datasets(spark, new_folder(spark, "stages"))
-    return run_stages(store, fx.responses(spark, d), fx.pages(spark, d), CONFIG, run_date="2024-01-10", keep_weeks=True)
+    return _run_all(spark, d, keep_weeks=True)[1]
+
+
+@query("stage_run_rollup", "select * from run_rollup")
+def _(spark, d):
+    store, _ = _run_all(spark, d, keep_weeks=False)
+    return store.read(CONFIG.rollup_dataset)
+
+
+@query("stage_collect_week", 'select "Date", "Title", "URL", "Domain", "Country", "Keywords" from week')
+def _(spark, d):
+    return collect(fx.responses(spark, d), datetime.date(2024, 1, 10))

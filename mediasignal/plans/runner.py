@@ -23,13 +23,15 @@ STAGES = ("collect", "enrich", "score")
 
 def run_stages(datasets: Datasets, responses: DataFrame | None = None, pages: DataFrame | None = None,
                config: PipelineConfig | None = None, run_date: date | str | None = None,
-               stages: Sequence[str] = STAGES, keep_weeks: bool = False) -> DataFrame:
+               stages: Sequence[str] = STAGES, keep_weeks: bool = False,
+               every_week: bool = False) -> DataFrame:
     """Run the picked stages in order and return one summary row per stage.
 
     Each stage writes its dataset and the next one reads it; a stage that is not
     picked is taken from its dataset as it stands. Empty article tables are not
-    written, an empty rollup is. With ``keep_weeks`` the articles of other weeks
-    stay in the raw dataset, as partitions by ``run_week``.
+    written, an empty rollup is. The week is the one of ``run_date``, by default
+    today; ``every_week`` takes all landed replies. With ``keep_weeks`` the
+    articles of other weeks stay in the raw dataset, as partitions by ``run_week``.
     """
     config = config or PipelineConfig()
     unknown = set(stages) - set(STAGES)
@@ -39,17 +41,19 @@ def run_stages(datasets: Datasets, responses: DataFrame | None = None, pages: Da
     base: DataFrame | None = None
 
     if "collect" in stages:
-        day = _as_date(run_date)
+        day = None if every_week else _as_date(run_date)
         articles, found = collect(responses, day), found_articles(responses, day)
         if keep_weeks:
-            week = dates.week_start(F.lit(day.isoformat()).cast("date"))
+            week = dates.week_start(dates.parse_lenient(F.col("Date")).cast("date"))
             wrote = datasets.write(config.raw_dataset, articles.withColumn("run_week", week),
                                    on_empty="skip", partition_by="run_week", probe=found)
-            stored = lambda: datasets.read(config.raw_dataset).where(F.col("run_week") == week)
+            stored = datasets.read(config.raw_dataset) if wrote else None
+            if stored is not None and day is not None:
+                stored = stored.where(F.col("run_week") == dates.week_start(F.lit(day.isoformat()).cast("date")))
         else:
             wrote = datasets.write(config.raw_dataset, articles, on_empty="skip", probe=found)
-            stored = lambda: datasets.read(config.raw_dataset, schema=schemas.ARTICLES_RAW)
-        base = stored() if wrote else datasets.spark.createDataFrame([], schemas.ARTICLES_RAW)
+            stored = datasets.read(config.raw_dataset, schema=schemas.ARTICLES_RAW) if wrote else None
+        base = stored if stored is not None else datasets.spark.createDataFrame([], schemas.ARTICLES_RAW)
         summaries.append(stage_summary("collect", responses, base))
 
     if "enrich" in stages:
