@@ -16,7 +16,7 @@ def _blocks(*tags: str) -> str:
 # A literal first character lets the matcher skip plain text quickly.
 HIDDEN = "(?is)<(?:!--.*?-->|" + _blocks("script", "style", "noscript", "template", "svg") + ")"
 BOILERPLATE = "(?is)<(?:" + _blocks("nav", "footer", "aside", "form", "button", "select", "iframe") + ")"
-CONTAINERS = [rf"(?is)<{t}(?:\s[^>]*)?>(.*)</{t}\s*>" for t in ("article", "main", "body")]
+CONTAINERS = [rf"(?is)<{t}(?:\s[^>]*)?>(.+)</{t}\s*>" for t in ("article", "main", "body")]
 INLINE_TAG = (r"(?i)</?(?:a|abbr|b|cite|code|em|font|i|kbd|mark|q|s|small|span|strong|sub|sup|u)"
               r"(?:\s[^>]*)?/?>")
 ANY_TAG = r"<(?:/?[A-Za-z]|!)[^>]*>"
@@ -59,8 +59,9 @@ def add_main_text(df: DataFrame, html: str, out: str) -> DataFrame:
     Steps are separate projections so that each pattern runs once per page.
     """
     page = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), HIDDEN, "")
-    box = F.coalesce(
-        *[F.nullif(F.regexp_extract(F.col(out), c, 1), F.lit("")) for c in CONTAINERS], F.col(out))
+    # Null without a match, so each container is looked for once.
+    box = F.coalesce(*[F.try_element_at(F.regexp_extract_all(F.col(out), F.lit(c), F.lit(1)), F.lit(1))
+                       for c in CONTAINERS], F.col(out))
     plain = F.regexp_replace(
         F.regexp_replace(F.regexp_replace(F.col(out), BOILERPLATE, ""), INLINE_TAG, ""), ANY_TAG, " ")
     return (

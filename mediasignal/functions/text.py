@@ -1,6 +1,6 @@
 """String expressions. Each takes and returns a ``Column``.
 
-The patterns avoid look-around and back-references, so they mean the same in
+Most patterns avoid look-around and back-references, so they mean the same in
 Java and in RE2 engines.
 """
 
@@ -48,6 +48,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(f"{NON_BLANK}+")), F.lit(0))
 
 
+def has_words(text: Column, n: int) -> Column:
+    """At least ``n`` words; reads no further than the ``n``-th."""
+    if n <= 0:
+        return F.lit(True)
+    pattern = f"^{BLANK}*+(?:{NON_BLANK}++{BLANK}++){{{n - 1}}}{NON_BLANK}"
+    return F.coalesce(text.rlike(pattern), F.lit(False))
+
+
 def words_lower(text: Column) -> Column:
     """Lower-case runs of letters and digits, in text order."""
     return F.coalesce(
@@ -73,7 +81,7 @@ def rejoin(pieces: Column) -> Column:
 
 def sorted_set(items: Column, separator: str = ", ") -> Column:
     """Distinct items in code-point order as one string."""
-    return F.array_join(F.array_sort(F.array_distinct(items)), separator)
+    return F.array_join(F.sort_array(F.array_distinct(items)), separator)
 
 
 def percent(part: Column, total: Column) -> Column:

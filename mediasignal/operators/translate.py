@@ -45,13 +45,17 @@ def add_translation(df: DataFrame, key: str, text: str, out: str, config: Pipeli
     def word(w: Column) -> Column:
         return F.when(w.isin(list(words)), literal[w]).otherwise(w)
 
-    return df.withColumn(out, tx.rejoin(F.transform(pieces, lambda p: replace_words(p, word))))
+    done = F.transform(pieces, lambda p: replace_words(p, word))
+    return df.withColumn(out, tx.rejoin(F.zip_with(done, pieces, or_as_it_was)))
 
 
 def replace_words(piece: Column, word: Callable[[Column], Column]) -> Column:
-    """Apply ``word`` between single spaces; an empty result leaves the piece as it was."""
-    replaced = F.array_join(F.transform(F.split(piece, " "), word), " ")
-    return F.coalesce(F.nullif(replaced, F.lit("")), piece)
+    """Apply ``word`` to what stands between single spaces."""
+    return F.array_join(F.transform(F.split(piece, " "), word), " ")
+
+
+def or_as_it_was(translated: Column, piece: Column) -> Column:
+    return F.when(translated == "", piece).otherwise(translated)
 
 
 def _by_join(df: DataFrame, key: str, pieces: Column, out: str, lexicon: DataFrame,
@@ -64,8 +68,9 @@ def _by_join(df: DataFrame, key: str, pieces: Column, out: str, lexicon: DataFra
              .groupBy(key, "_pos")
              .agg(F.map_from_entries(F.collect_list(F.struct("src", "dst"))).alias("_words")))
     done = (chunk.join(found, [key, "_pos"], "left")
-            .select(key, "_pos", F.when(F.col("_words").isNull(), F.col("_piece")).otherwise(
-                replace_words(F.col("_piece"), lambda w: F.coalesce(F.col("_words")[w], w))).alias("_t"))
+            .withColumn("_new", F.when(F.col("_words").isNotNull(), replace_words(
+                F.col("_piece"), lambda w: F.coalesce(F.col("_words")[w], w))).otherwise(F.col("_piece")))
+            .select(key, "_pos", or_as_it_was(F.col("_new"), F.col("_piece")).alias("_t"))
             .groupBy(key)
             .agg(F.array_sort(F.collect_list(F.struct("_pos", "_t"))).alias("_parts")))
     return (df.join(done, key, "left")

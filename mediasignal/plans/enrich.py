@@ -42,8 +42,8 @@ def readable_text(config: PipelineConfig) -> Column:
     """The page text, cut to ``max_article_chars`` unless it has fewer words than
     the short-text threshold."""
     full = F.col("text_full")
-    short = tx.word_count(full) < config.short_text_word_threshold
-    return F.when(short, full).otherwise(tx.cap(full, config.max_article_chars))
+    long = tx.has_words(full, config.short_text_word_threshold)
+    return F.when(long, tx.cap(full, config.max_article_chars)).otherwise(full)
 
 
 def add_texts(df: DataFrame, config: PipelineConfig) -> DataFrame:

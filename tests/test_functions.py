@@ -147,3 +147,10 @@ def test_money(spark):
     values = ["paid $5 million now", "€1,200.50.", "USD 3bn", "no money here", "AUSD 5", "$5, then £7k", None]
     assert column(spark, values, money_amounts) == [
         ["$5 million"], ["€1,200.50"], ["USD 3bn"], [], [], ["$5", "£7k"], []]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3])
+def test_has_words(spark, n):
+    values = BLANKS + ["one two  three", " one two\n", None, "x" * 30_000]
+    got = column(spark, values, lambda c: text.has_words(c, n))
+    assert got == [len((v or "").split()) >= n for v in values]
