@@ -63,6 +63,7 @@ LANGUAGE_NAMES = {
     "sk": "Slovak", "sl": "Slovenian", "so": "Somali", "sq": "Albanian", "sv": "Swedish",
     "sw": "Swahili", "ta": "Tamil", "te": "Telugu", "th": "Thai", "tl": "Filipino",
     "tr": "Turkish", "uk": "Ukrainian", "ur": "Urdu", "vi": "Vietnamese",
+    "zh-cn": "Chinese (China)", "zh-tw": "Chinese (Taiwan)",
 }
 
 # Frequent function words per language: {language: {word: weight}}.

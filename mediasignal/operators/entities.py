@@ -35,9 +35,14 @@ def money_amounts(text: Column) -> Column:
         F.array().cast("array<string>"))
 
 
-def add_entities(df: DataFrame, key: str, text: str, out: str, config: PipelineConfig) -> DataFrame:
+def add_entities(df: DataFrame, key: str, text: str, out: str, config: PipelineConfig,
+                 source: DataFrame | None = None) -> DataFrame:
     """Add the sorted distinct names and amounts of the configured kinds, joined
-    by ``", "``; ``""`` if there are none."""
+    by ``", "``; ``""`` if there are none.
+
+    With a joined phrase table the words are taken from ``source``: the same keys
+    and texts as ``df``, but cheaper to compute (by default ``df`` itself).
+    """
     kinds = list(config.entity_kinds)
     if config.entity_batch is not None:
         found = entity_udf(config.entity_batch, kinds)(F.col(text))
@@ -45,7 +50,7 @@ def add_entities(df: DataFrame, key: str, text: str, out: str, config: PipelineC
     money = money_amounts(F.col(text)) if "MONEY" in kinds else F.array().cast("array<string>")
     table = entries(config.gazetteer, ("phrase", "kind"), config, df.sparkSession)
     if isinstance(table, DataFrame):
-        named = _by_join(df, key, text, table.where(F.col("kind").isin(kinds)), config)
+        named = _by_join(df, source or df, key, text, table.where(F.col("kind").isin(kinds)), config)
     else:
         named = _in_row(df, text, [phrase for phrase, kind in table if kind in kinds])
     return named.withColumn(out, sorted_set(F.concat(F.col("_names"), money))).drop("_names")
@@ -66,14 +71,14 @@ def _in_row(df: DataFrame, text: str, phrases: list[str]) -> DataFrame:
             .drop("_words"))
 
 
-def _by_join(df: DataFrame, key: str, text: str, table: DataFrame, config: PipelineConfig) -> DataFrame:
+def _by_join(df: DataFrame, source: DataFrame, key: str, text: str, table: DataFrame, config: PipelineConfig) -> DataFrame:
     """Distinct word runs of each text joined with a phrase table of any size."""
     phrases = table.select("phrase").where(F.col("phrase") != "").distinct()
     longest = phrases.agg(F.max(F.size(F.split("phrase", " ")))).first()[0] or 1
     words = F.col("_words")
     runs = F.flatten(F.transform(words, lambda w, i: F.array(
         *[F.array_join(F.slice(words, i + 1, n), " ") for n in range(1, longest + 1)])))
-    grams = (df.select(key, name_words(F.col(text)).alias("_words"))
+    grams = (source.select(key, name_words(F.col(text)).alias("_words"))
              .select(key, F.explode(F.array_distinct(runs)).alias("phrase")))
     found = (lookup_join(grams, phrases, "phrase", "inner", [key], config)
              .groupBy(key).agg(F.collect_set("phrase").alias("_names")))

@@ -20,21 +20,23 @@ RETRIES = 2
 
 
 def add_translation(df: DataFrame, key: str, text: str, out: str, config: PipelineConfig,
-                    chunked: bool = True) -> DataFrame:
+                    chunked: bool = True, source: DataFrame | None = None) -> DataFrame:
     """Add the English form of column ``text``.
 
     A chunk that cannot be translated stays as it was; chunks are joined with
     one space. Without ``chunked`` the text is one piece, as for titles. A
-    missing text gives ``""`` and costs nothing.
+    missing text gives ``""`` and costs nothing. With a joined dictionary the
+    words are taken from ``source``: the same keys and texts as ``df``, but
+    cheaper to compute (by default ``df`` itself).
     """
-    source = F.coalesce(F.col(text), F.lit(""))
-    pieces = tx.chunks(source, config.chunk_chars) if chunked else F.array(source)
+    whole = F.coalesce(F.col(text), F.lit(""))
+    pieces = tx.chunks(whole, config.chunk_chars) if chunked else F.array(whole)
     if config.translate_batch is not None:
         translated = batch_translator(config.translate_batch)(pieces)
         return df.withColumn(out, tx.rejoin(translated))
     lexicon = entries(config.lexicon, ("src", "dst"), config, df.sparkSession)
     if isinstance(lexicon, DataFrame):
-        return _by_join(df, key, pieces, out, lexicon, config)
+        return _by_join(df, source or df, key, pieces, out, lexicon, config)
     words: dict[str, str] = {}
     for src, dst in lexicon:
         words[src] = min(dst, words.get(src, dst))
@@ -58,10 +60,10 @@ def or_as_it_was(translated: Column, piece: Column) -> Column:
     return F.when(translated == "", piece).otherwise(translated)
 
 
-def _by_join(df: DataFrame, key: str, pieces: Column, out: str, lexicon: DataFrame,
+def _by_join(df: DataFrame, source: DataFrame, key: str, pieces: Column, out: str, lexicon: DataFrame,
              config: PipelineConfig) -> DataFrame:
     """For a large dictionary: each piece meets only the entries of its own words."""
-    chunk = df.select(key, F.posexplode(pieces).alias("_pos", "_piece"))
+    chunk = source.select(key, F.posexplode(pieces).alias("_pos", "_piece"))
     words = chunk.select(key, "_pos", F.explode(F.array_distinct(F.split("_piece", " "))).alias("src"))
     unique = lexicon.groupBy("src").agg(F.min("dst").alias("dst"))
     found = (lookup_join(words, unique, "src", "inner", [key, "_pos"], config)

@@ -62,8 +62,9 @@ def add_texts(df: DataFrame, config: PipelineConfig) -> DataFrame:
     out = out.withColumn("_foreign", F.when(~english, F.col("_body")))
     if has_joined_tables(config):
         out = staged(out.drop("text_full", "_basis"), "texts")
-    out = add_translation(out, "URL", "_title", "_tt", config, chunked=False)
-    out = add_translation(out, "URL", "_foreign", "_translated", config)
+    texts = out
+    out = add_translation(out, "URL", "_title", "_tt", config, chunked=False, source=texts)
+    out = add_translation(out, "URL", "_foreign", "_translated", config, source=texts)
     shown_title = tx.first_truthy(F.col("_tt"), F.col("_title"))
     body = F.when(english, F.col("_body")).otherwise(F.col("_translated"))
     text = F.when(F.col("page_ok"), tx.first_truthy(body, shown_title)).otherwise(shown_title)
@@ -80,7 +81,7 @@ def add_signals(df: DataFrame, config: PipelineConfig) -> DataFrame:
     """
     scored = df.withColumn("_scored", F.when(F.col("_status") == "ok", F.col("Translated Text")))
     scored = add_no_content(add_sentiment(scored, "URL", "_scored", config))
-    return add_entities(scored, "URL", "Translated Text", "Enriched Keywords", config).drop("_scored")
+    return add_entities(scored, "URL", "Translated Text", "Enriched Keywords", config, source=df).drop("_scored")
 
 
 def enrich_rows(articles: DataFrame, pages: DataFrame, config: PipelineConfig) -> DataFrame:

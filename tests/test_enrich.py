@@ -303,3 +303,16 @@ def test_pages_of_other_articles_are_dropped_while_scanning(spark):
     assert few.collect() == many.collect()
     plan = few._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in plan and plan.index("LeftSemi") > plan.index("regexp_replace")
+
+
+def test_one_url_may_hold_a_third_of_all_rows(spark):
+    hot = "https://hot.example/1"
+    rows = [article(hot, title=f"t{i}", Date=f"2025-08-{1 + i % 20:02}") for i in range(300)]
+    rows += [article(f"https://c.example/{i}") for i in range(600)]
+    pages = [(hot, 500 + i % 4, "x") for i in range(200)] + [(hot, 200, EN50)]
+    pages += [(f"https://c.example/{i}", 200, DE50) for i in range(400)]
+    got = run(spark, rows, pages)
+    assert len(got) == 601 and got[hot]["Translated Text"] == EN50 and got[hot].Date == "2025-08-01"
+    assert sum(r[LABEL] == "bullish" for r in got.values()) == 401
+    many = run(spark, rows[::-1], pages[::-1], replace(CONFIG, broadcast_rows=0))
+    assert sorted(map(str, many.values())) == sorted(map(str, got.values()))
