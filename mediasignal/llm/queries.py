@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from mediasignal.llm.exact_dedup import exact_groups
+from mediasignal.llm.mixing import Mix, mixture
+from mediasignal.llm.packing import packed
+from mediasignal.llm.quality import fit, quality_scores
 from mediasignal.llm.simhash import near_copies
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,10 +27,64 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op3_quality_classifier")
+def _(spark, d):
+    docs = table(spark, d, "documents")
+    return quality_scores(docs, fit(docs, table(spark, d, "labels")))
+
+
+@query("op5_source_mixing", r"""
+with d as (
+  select doc_id, case when substr(md5(coalesce(source, '')), 1, 1) < 'a' then 'web' else 'reference' end as domain,
+    coalesce(lang, '') as lang, coalesce(source, '') as source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as tokens from documents),
+n1 as (select domain, (sum(tokens) * 4)::bigint as room,
+    case domain when 'web' then 6 when 'reference' then 4 else 1 end as weight,
+    ((select sum(tokens) from d) * 800 // 1000)::bigint as given from d group by domain),
+s1 as (select *, sum(room) over o * weight + room * (sum(weight) over () - sum(weight) over o)
+    <= given * weight as is_full from n1
+    window o as (order by room / weight, domain rows unbounded preceding)),
+b1 as (select domain, case when is_full then room else weight * (given - coalesce(sum(room) filter (is_full) over (), 0))
+    // sum(weight) filter (not is_full) over () end::bigint as budget from s1),
+n2 as (select d.domain, lang, (sum(tokens) * 4)::bigint as room,
+    case lang when 'en' then 5 when 'fr' then 2 when 'de' then 2 else 1 end as weight, any_value(budget) as given
+    from d join b1 using (domain) group by d.domain, lang),
+s2 as (select *, sum(room) over o * weight + room * (sum(weight) over (partition by domain) - sum(weight) over o)
+    <= given * weight as is_full from n2
+    window o as (partition by domain order by room / weight, lang rows unbounded preceding)),
+b2 as (select domain, lang, case when is_full then room
+    else weight * (given - coalesce(sum(room) filter (is_full) over p, 0)) // sum(weight) filter (not is_full) over p
+    end::bigint as budget from s2 window p as (partition by domain)),
+n3 as (select d.domain, d.lang, source, sum(tokens)::bigint as tokens, (sum(tokens) * 4)::bigint as room, 1 as weight,
+    any_value(budget) as given from d join b2 on d.domain = b2.domain and d.lang = b2.lang group by d.domain, d.lang, source),
+s3 as (select *, sum(room) over o * weight + room * (sum(weight) over (partition by domain, lang) - sum(weight) over o)
+    <= given * weight as is_full from n3
+    window o as (partition by domain, lang order by room / weight, source rows unbounded preceding)),
+b3 as (select domain, lang, source, tokens, case when is_full then room
+    else weight * (given - coalesce(sum(room) filter (is_full) over p, 0)) // sum(weight) filter (not is_full) over p
+    end::bigint as budget from s3 window p as (partition by domain, lang)),
+k as (select d.*, coalesce(case when b3.tokens > 0 then budget // b3.tokens end, 0) as whole,
+    coalesce(case when b3.tokens > 0 then budget % b3.tokens end, 0) as rest
+    from d join b3 on d.domain = b3.domain and d.lang = b3.lang and d.source = b3.source),
+o as (select *, md5('mix-1:' || whole || ':' || coalesce(doc_id::varchar, '')) as key from k)
+select doc_id, domain, lang, source, tokens,
+  (whole + case when rest > 0 and sum(tokens) over (partition by domain, lang, source order by key) <= rest
+    then 1 else 0 end)::int as copies from o""")
+def _(spark, d):
+    return mixture(table(spark, d, "documents"), Mix())
+
+
 @query("op6_exact_dedup", r"""
 with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as h from documents)
 select doc_id, min(doc_id) over (partition by h) as keep_id, count(*) over (partition by h) as group_size,
@@ -39,3 +96,8 @@ def _(spark, d):
 @query("op7_simhash")
 def _(spark, d):
     return near_copies(table(spark, d, "documents"))
+
+
+@query("op8_packing")
+def _(spark, d):
+    return packed(table(spark, d, "documents"), vocabulary("word_bpe_49k.json"))
