@@ -10,7 +10,10 @@ from mediasignal.llm.exact_dedup import exact_groups
 from mediasignal.llm.mixing import Mix, mixture
 from mediasignal.llm.packing import packed
 from mediasignal.llm.quality import fit, quality_scores
+from mediasignal.llm.secret_scan import labelled_samples, secret_report, train
 from mediasignal.llm.simhash import near_copies
+from mediasignal.llm.token_counts import token_counts
+from mediasignal.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -101,3 +104,31 @@ def _(spark, d):
 @query("op8_packing")
 def _(spark, d):
     return packed(table(spark, d, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query("op4_url_filter", r"""
+with u as (select page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path from pages),
+r(h, p, v) as (values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
+    ('org', '/fr/', 'allow')),
+m as (select page_id, host, path, h || p as rule, v from u left join r
+    on (host = h or ends_with(host, '.' || h)) and starts_with(path, p))
+select page_id, host, path, rule, coalesce(v, 'allow') as verdict from m
+qualify row_number() over (partition by page_id order by length(rule) desc nulls last) = 1""")
+def _(spark, d):
+    return judge_urls(table(spark, d, "pages"), spark.createDataFrame(RULES, "host string, path string, verdict string"))
+
+
+@query("op10_token_counts")
+def _(spark, d):
+    return token_counts(table(spark, d, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op1_secret_scan")
+def _(spark, d):
+    docs = table(spark, d, "documents")
+    return secret_report(docs, train(labelled_samples(docs)))
