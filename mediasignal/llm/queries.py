@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mediasignal.llm.exact_dedup import exact_groups
 from mediasignal.llm.mixing import Mix, mixture
+from mediasignal.llm.neighbours import Index
 from mediasignal.llm.packing import packed
 from mediasignal.llm.quality import fit, quality_scores
 from mediasignal.llm.secret_scan import labelled_samples, secret_report, train
@@ -132,3 +133,10 @@ def _(spark, d):
 def _(spark, d):
     docs = table(spark, d, "documents")
     return secret_report(docs, train(labelled_samples(docs)))
+
+
+@query("op9_nearest_neighbours")
+def _(spark, d):
+    vectors = table(spark, d, "embeddings")
+    asked = vectors.where("pmod(vec_id, 20) = 0").withColumnRenamed("vec_id", "query_id")
+    return Index(vectors).search(asked, 20)
