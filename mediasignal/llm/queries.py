@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from mediasignal.llm.exact_dedup import exact_groups
+from mediasignal.llm.license_scan import license_matches
 from mediasignal.llm.mixing import Mix, mixture
 from mediasignal.llm.neighbours import Index
 from mediasignal.llm.packing import packed
@@ -140,3 +141,8 @@ def _(spark, d):
     vectors = table(spark, d, "embeddings")
     asked = vectors.where("pmod(vec_id, 20) = 0").withColumnRenamed("vec_id", "query_id")
     return Index(vectors).search(asked, 20)
+
+
+@query("op2_license_scan")
+def _(spark, d):
+    return license_matches(table(spark, d, "documents"))
