@@ -89,7 +89,8 @@ def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Links that connect what is within ``distance`` bits: each member but one to an earlier one."""
-    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= distance
+    bits = fps.view(np.uint64)  # of signed numbers, numpy counts the bits of the absolute value
+    near = np.bitwise_count(bits[:, None] ^ bits[None, :]) <= distance
     left, links = np.ones(len(fps), dtype=bool), []
     for start in range(len(fps)):
         if left[start]:
