@@ -80,10 +80,11 @@ def drop_copies(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
              .drop(other, keep).dropDuplicates([digest]))
 
     several = groups.select(F.col("digest").alias(other), F.col("keep_id").alias(keep), F.lit(True).alias("several_rows"))
+    # This list grows with the data, so the join shuffles at any size.
     (several_rows,) = fresh(docs, "several_rows")
     several = several.withColumnRenamed("several_rows", several_rows)
     rest = (texts.join(winners, F.col(digest) == F.col(other), "left_anti")
-            .join(several, F.col(digest) == F.col(other), "left")
+            .join(several.hint("merge"), F.col(digest) == F.col(other), "left")
             .where(F.col(several_rows).isNull() | F.col("doc_id").eqNullSafe(F.col(keep)))
             .drop(other, keep, several_rows))
     # Only where the stored groups hold a repeated row must rows of one id and text be merged.
