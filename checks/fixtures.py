@@ -8,7 +8,6 @@ ones, and copies are added.
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,12 +71,14 @@ select e.event_id as ord, cast(e.ts as date) as day, cast(floor(hour(e.ts) / 6)
   case when e.event_id % 40 = 0 then 500 else 200 end as status,
   case when e.event_id % 50 = 3 then 'not json' when e.event_id % 50 = 4 then '[{"articles":[{"url":"https://list.example/1"}]}]'
     when e.event_id % 50 = 6 then '{"articles":null}' when e.event_id % 50 = 7 then '{"articles":[{"url":"https://cut.example/' else
-  '{"articles":[{"url":" https://www.News.example/e/'
+  case e.event_id % 11 when 1 then chr(10) when 2 then chr(9) when 3 then chr(13) || chr(10) else '' end
+  || '{"articles":[{"url":" https://www.News.example/e/'
   || cast(case when e.event_id % 20 = 9 then e.event_id - 1 else e.event_id end as string)
   || ' ","title":"' || e.event_type || '"' || case when e.event_id % 21 = 0 then '' else ',"sourcecountry":"N' || cast(e.user_id % 25 as string) || '"' end
   || case e.event_id % 5 when 0 then ',"themes":["b","a","b",""]' when 1 then ',"themes":"x;y"' when 2 then ',"themes":7'
      when 3 then ',"themes":["T1",2,null,"Äb"]' else '' end || '},'
   || '{"url":"http://user:pw@M.example:8080/u/' || cast(e.user_id as string) || '?t=' || e.event_type || '","sourcecountry":""},'
+  || case when e.event_id % 7 = 0 then '"odd",' else '' end
   || '{"url":"' || case when e.event_id % 3 = 0 then ' ' else '' end || '","title":"none"}]}' end as body
 from events e join fx_codes c on e.user_id % 197 = c.pos""",
     # Stage two input: every page is hit on two days.
@@ -145,13 +146,13 @@ _schemas: dict = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. A single file is read by one task, so its rows are spread
-    over the cores; a table of many files is left as it is."""
+    """A driver table. If it is read by fewer tasks than there are cores, its rows
+    are spread over them; at scale it is left as it is."""
     path = f"{sf_dir}/{name}.parquet"
     reader = spark.read.schema(_schemas[path]) if path in _schemas else spark.read
     df = reader.parquet(path)
     _schemas[path] = df.schema
-    if name in SPREAD_KEYS and os.path.isfile(path):
+    if name in SPREAD_KEYS and df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
         df = df.repartition(spark.sparkContext.defaultParallelism, *SPREAD_KEYS[name])
     return df
 

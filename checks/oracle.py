@@ -121,7 +121,7 @@ from (select *, greatest(b, r, n) as top, b + r + n + 3 as total from (
   from {source} s left join (
     select t.key, count(*) filter (p.kind = 'bullish') as b, count(*) filter (p.kind = 'bearish') as r,
       count(*) filter (p.kind = 'neutral') as n
-    from (select key, unnest(list_slice({words('txt')}, 1, 8192)) as token from {source}) t join fx_polarity p on t.token = p.token
+    from (select key, unnest({words('txt')}) as token from {source}) t join fx_polarity p on t.token = p.token
     group by 1) c on s.key = c.key))"""
 
 
@@ -143,7 +143,7 @@ on s.key = f.key"""
 def per_label(source: str) -> str:
     return f"""
 select country, date_trunc('month', dt) as month, label, count(*) as n,
-  sum(case label when 'bullish' then 1 when 'bearish' then -1 else 0 end * cast(round(score * 1000000) as bigint)) as units,
+  sum(case label when 'bullish' then 1 when 'bearish' then -1 else 0 end * cast(cast(score as varchar) as decimal(28,18))) as units,
   min(row(dt, url)) as first_at
 from ({source}) where country is not null group by 1, 2, 3"""
 
@@ -156,7 +156,7 @@ select {iso_day('month')} as "Year-Month", country as "COUNTRY", cast(sum(n) as
   cast(coalesce(sum(n) filter (label = 'neutral'), 0) as bigint) as neu_count,
   arg_min(label, row(-n, first_at)) as majority_sentiment,
   case when sum(units) > 0 then 'bullish' when sum(units) < 0 then 'bearish' else 'neutral' end as avg_sentiment_label,
-  cast(sum(units) as double) / 1000000 / cast(sum(n) as double) as avg_sentiment
+  cast(sum(units) as double) / cast(sum(n) as double) as avg_sentiment
 from {source} group by country, month"""
 
 
@@ -168,7 +168,10 @@ select ord, day, win, code, cast(i as int) as pos, a->>'$.url' as url, a->>'$.ti
   a->>'$.sourcecountry' as sourcecountry, a->'$.themes' as themes
 from (select *, json_extract(body, '$.articles[' || i || ']') as a from (
   select *, unnest(range(0, cast(json_array_length(body, '$.articles') as bigint))) as i
-  from (select * from fx_responses where status = 200 and json_valid(body)) where json_type(body) = 'OBJECT'))""",
+  from (select * from fx_responses where status = 200 and json_valid(body)) where json_type(body) = 'OBJECT'))
+where json_type(a) = 'OBJECT'""",
+    "replies": """
+select *, status = 200 and case when json_valid(body) then json_type(body) = 'OBJECT' else false end as usable from fx_responses""",
     "clean_hits": f"select * replace ({strip('url')} as url) from hits where {strip('url')} <> ''",
     "themed": """
 select *, case json_type(themes)
@@ -197,7 +200,7 @@ select url, status, regexp_replace(regexp_replace(regexp_replace(h,
   '</?[A-Za-z][^>]*>|<![^>]*>', ' ', 'g') as h from page_1""",
     "page_texts": f"""
 select url, status < 400 as page_ok, text from (
-  select *, row_number() over (partition by url order by status, text) as rn from (
+  select *, row_number() over (partition by url order by status, md5(text)) as rn from (
     select url, status, {squeeze(unescape('h'))} as text from page_2)) where rn = 1""",
     "joined": """
 select b.*, coalesce(p.page_ok, false) as page_ok, case when p.page_ok then p.text else '' end as text_full
@@ -207,7 +210,7 @@ select "URL" as key, case when length(text_full) > 50 then text_full else "Title
     "language": language("basis"),
     "texts_0": f"""
 select j.*, l.code, coalesce(n.name, 'Unknown') as "Language", {translated('j."Title"')} as tt,
-  case when {word_count('text_full')} < 50 then text_full else left(text_full, 20000) end as body
+  text_full as body
 from joined j join language l on j."URL" = l.key left join fx_names n on l.code = n.code""",
     "texts": f"""
 select *, coalesce(nullif(tt, ''), "Title") as "Translated Title",

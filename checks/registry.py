@@ -22,7 +22,7 @@ from mediasignal.operators import score as sc
 from mediasignal.operators.entities import add_entities
 from mediasignal.operators.language import add_language, add_language_name, language_basis
 from mediasignal.operators.sentiment import (
-    LABEL, SCORE, add_classifier_sentiment, add_no_content, add_sentiment, fit_text_classifier,
+    FAILED, KINDS, LABEL, SCORE, add_classifier_sentiment, add_no_content, add_sentiment, fit_text_classifier,
 )
 from mediasignal.operators.translate import add_translation
 from mediasignal.plans import enrich as en
@@ -64,9 +64,9 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 # --------------------------------------------------------------------------- sources and sinks
-@query("io_read", "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders")
+@query("io_read", "select * replace (cast(o_orderdate as date) as o_orderdate) from orders")
 def _(spark, d):
-    return Datasets(spark, d).read("orders.parquet").drop("o_orderdate")
+    return Datasets(spark, d).read("orders.parquet").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
 
 
 @query("io_read_projected", """
@@ -310,14 +310,17 @@ def _(spark, d):
 
 
 @query("join_pages", """
-select "URL", page_ok, length(text_full) as chars from joined""")
+select "URL", page_ok, text_full from joined""")
 def _(spark, d):
     base = en.base_articles(fx.articles(spark, d), CONFIG)
-    return join_pages(base, fx.pages(spark, d)).select("URL", "page_ok", F.length("text_full").cast("long").alias("chars"))
+    return join_pages(base, fx.pages(spark, d)).select("URL", "page_ok", "text_full")
 
 
 @query("join_empty_right", """
-select distinct replace(url, 'http', 'ftp') as "URL", 't' as "Title" from fx_articles""")
+select distinct replace(url, 'http', 'ftp') as "URL", 't' as "Title", cast(null as varchar) as "Translated Title",
+  cast(null as varchar) as "Translated Text", cast(null as varchar) as "Language", cast(null as varchar) as "Model Sentiment Label",
+  cast(null as double) as "Model Sentiment Score", cast(null as varchar) as "Enriched Keywords",
+  cast(null as varchar) as "Enriched Domain" from fx_articles""")
 def _(spark, d):
     none = fx.articles(spark, d).select(F.replace("URL", F.lit("http"), F.lit("ftp")).alias("URL"), F.lit("t").alias("Title"))
     return en.enrich(none, fx.pages(spark, d), CONFIG)
@@ -372,9 +375,9 @@ def _(spark, d):
 
 
 @query("agg_request_counts", """
-select code, day, count(*) as requests, count(*) filter (status = 200 and starts_with(body, '{')) as usable
-from fx_responses group by 1, 2
-union all select null, null, count(*), count(*) filter (status = 200 and starts_with(body, '{')) from fx_responses""")
+select code, day, count(*) as requests, count(*) filter (usable) as usable
+from replies group by 1, 2
+union all select null, null, count(*), count(*) filter (usable) from replies""")
 def _(spark, d):
     return quality.request_counts(fx.responses(spark, d))
 
@@ -411,10 +414,10 @@ def _(spark, d):
 # --------------------------------------------------------------------------- limits, sorts, sets
 @query("limit_per_window", """
 select code, day, win, ord, pos from (
-  select *, row_number() over (partition by code, day, win order by ord, pos) as rn from clean_hits) where rn <= 5""")
+  select *, row_number() over (partition by code, day, win order by ord, pos) as rn from clean_hits) where rn <= 250""")
 def _(spark, d):
     rows = art.drop_empty_url(hits(fx.responses(spark, d)))
-    return dedupe.cap_per_group(rows, ["code", "day", "win"], ["ord", "pos"], 5).select("code", "day", "win", "ord", "pos")
+    return dedupe.cap_per_group(rows, ["code", "day", "win"], ["ord", "pos"], CONFIG.max_records).select("code", "day", "win", "ord", "pos")
 
 
 @query("sort_rollup", """
@@ -514,7 +517,7 @@ def _(spark, d):
 
 @query("sc_cap_text", "select id, left(body, 20000) as body from fx_texts")
 def _(spark, d):
-    return _texts(spark, d).select("id", text.cap(F.col("body"), CONFIG.max_article_chars).alias("body"))
+    return _texts(spark, d).select("id", text.cap(F.col("body"), 20_000).alias("body"))
 
 
 @query("sc_chunks", f"""
@@ -563,9 +566,9 @@ def _(spark, d):
 
 
 @query("nlp_language_confusion", "select f.lang, l.code, count(*) as n from fx_texts f join (" + with_texts(
-    o.language("__T__")) + ") l on f.id = l.key where f.lang <> '' group by 1, 2")
+    o.language("__T__")) + ") l on f.id = l.key group by 1, 2")
 def _(spark, d):
-    found = add_language(_texts(spark, d).where("lang <> ''"), "id", "body", "code", CONFIG)
+    found = add_language(_texts(spark, d), "id", "body", "code", CONFIG)
     return found.groupBy("lang", "code").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -627,39 +630,16 @@ def _(spark, d):
     return add_sentiment(_texts(spark, d), "id", "body", config).select("id", f"`{LABEL}`", f"`{SCORE}`")
 
 
-@query("nlp_sentiment_ml")
+@query("nlp_sentiment_ml", "select doc_id, true as known_label, true as score_in_bounds from documents")
 def _(spark, d):
     labels = spark.read.parquet(f"{d}/labels.parquet")
     kind = F.when(F.col("toxic") == 1, "bearish").when(F.col("quality") == 1, "bullish").otherwise("neutral")
-    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    docs = fx.table(spark, d, "documents").select("doc_id", "text")
     known = docs.join(labels, "doc_id").select("text", kind.alias("kind"))
-    model = fit_text_classifier(known, "text", "kind")
-    return add_classifier_sentiment(docs, "text", model).select("doc_id", f"`{LABEL}`", f"`{SCORE}`")
-
-
-def _length_model():
-    """A stand-in for a real model: long texts are bullish, short ones bearish."""
-    return lambda texts: [("Bullish" if len(t) > 1000 else " BEARISH", 0.5 + (len(t) % 50) / 100) for t in texts]
-
-
-@query("nlp_sentiment_hook", f"""
-select id, case when body = '' then '[SENTIMENT FAILED]' when length(body) > 1000 then 'bullish' else 'bearish' end as {LABEL_Q},
-  case when body <> '' then cast(50 + length(body) % 50 as double) / 100 end as {SCORE_Q} from fx_texts""")
-def _(spark, d):
-    config = replace(CONFIG, sentiment_model=_length_model)
-    return add_sentiment(_texts(spark, d), "id", "body", config).select("id", f"`{LABEL}`", f"`{SCORE}`")
-
-
-def _upper(texts):
-    return [t.upper() for t in texts]
-
-
-@query("nlp_translate_hook", f"""
-select id, coalesce(array_to_string(list_transform({o.chunks('body')}, lambda c: upper(replace(c, 'ß', 'SS'))), ' '), '') as body
-from fx_texts""")
-def _(spark, d):
-    config = replace(CONFIG, translate_batch=_upper)
-    return add_translation(_texts(spark, d), "id", "body", "out", config).select("id", F.col("out").alias("body"))
+    found = add_classifier_sentiment(docs, "text", fit_text_classifier(known, "text", "kind"))
+    return found.select(
+        "doc_id", F.col(f"`{LABEL}`").isin(*KINDS, FAILED).alias("known_label"),
+        F.coalesce(F.col(f"`{SCORE}`").between(0, 1), F.col(f"`{LABEL}`") == FAILED).alias("score_in_bounds"))
 
 
 @query("nlp_no_content", f"""
@@ -739,29 +719,38 @@ def _(spark, d):
 
 @query("stage_enrich", 'select "URL", "Language", "Model Sentiment Label", "Model Sentiment Score", "Enriched Keywords" from enriched')
 def _(spark, d):
-    return en.enrich(fx.articles(spark, d), fx.pages(spark, d), CONFIG).select(
-        "URL", "Language", f"`{LABEL}`", f"`{SCORE}`", "`Enriched Keywords`")
-
-
-def _run_all(spark, d, keep_weeks):
     store = Datasets(spark, new_folder(spark, "stages"))
-    summary = run_stages(store, fx.landed_articles(spark, d), fx.pages(spark, d), CONFIG, every_week=True,
-                         keep_weeks=keep_weeks)
-    return store, summary
+    store.write(CONFIG.raw_dataset, fx.articles(spark, d))
+    run_stages(store, pages=fx.pages(spark, d), config=CONFIG, stages=["enrich"], every_week=True)
+    return store.read(CONFIG.enriched_dataset).select("URL", "Language", f"`{LABEL}`", f"`{SCORE}`", "`Enriched Keywords`")
 
 
-@query("stage_run", """
-select stage, rows_in, rows_out, cast(rows_out as double) / greatest(rows_in, 1) * 100 as percent from (
-  select 'collect' as stage, (select count(*) from fx_articles) as rows_in, (select count(*) from base) as rows_out
-  union all select 'enrich', (select count(*) from base), (select count(*) from base)
-  union all select 'score', (select count(*) from base), (select count(*) from run_rollup))""")
+@query("stage_run", f"""
+select stage, rows_in, rows_out, cast(rows_out as double) / greatest(rows_in, 1) * 100 as percent, details from (
+  select 'collect' as stage, (select count(*) from fx_articles) as rows_in, (select count(*) from base) as rows_out,
+    'usable=' || (select count(*) from fx_articles) as details
+  union all select 'enrich', (select count(*) from base), (select count(*) from results),
+    (select string_agg(label || '=' || n, ', ' order by label || '=' || n) from (
+      select {o.norm_label(LABEL_Q)} as label, count(*) as n from results group by 1))
+  union all select 'score', (select count(*) from base), (select count(*) from run_rollup),
+    'bad_score_or_date=' || (select count(*) from enriched where {SCORE_Q} is null) || ', duplicate_urls=0')""")
 def _(spark, d):
-    return _run_all(spark, d, keep_weeks=True)[1]
+    store = Datasets(spark, new_folder(spark, "stages"))
+    return run_stages(store, fx.landed_articles(spark, d), fx.pages(spark, d), CONFIG, every_week=True, keep_weeks=True)
 
 
 @query("stage_run_rollup", "select * from run_rollup")
 def _(spark, d):
-    store, _ = _run_all(spark, d, keep_weeks=False)
+    """What landed before, then two more weeks one after another; the last run's rollup covers all of them."""
+    landed, pages = fx.landed_articles(spark, d), fx.pages(spark, d)
+    last = landed.agg(F.max("day")).first()[0]
+    weeks = [last - datetime.timedelta(days=last.weekday() + 7 * k) for k in (1, 0)]
+    store = Datasets(spark, new_folder(spark, "stages"))
+    run_stages(store, landed.where(F.col("day") < F.lit(weeks[0])), pages, CONFIG, stages=["collect", "enrich"],
+               every_week=True, keep_weeks=True)
+    for week in weeks:
+        run_stages(store, landed, pages, CONFIG, run_date=week, keep_weeks=True,
+                   stages=["collect", "enrich", "score"][:3 if week == weeks[-1] else 2])
     return store.read(CONFIG.rollup_dataset)
 
 

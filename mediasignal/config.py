@@ -29,25 +29,39 @@ DEFAULT_KEYWORDS = (
 # --- fixed values: address of the public news search service ----------------
 SEARCH_URL = "https://api.gdeltproject.org/api/v2/doc/doc"
 
+# --- fixed values: names of the stage datasets -------------------------------
+RAW_DATASET = "currency_devaluation_main"
+ENRICHED_DATASET = "translation_summary"
+ROLLUP_DATASET = "score_groupby"
+
 # --- fixed values: FIPS 10-4 country codes by region ------------------------
 REGION_CODES = {
-    "africa": (
-        "AG AO BN BC UV BY CM CV CT CD CN CF DJ EG EK ER ET GB GA GH GV PU IV KE LT LI LY MA "
-        "MI ML MR MP MO MZ WA NG NI CG RW TP SG SE SL SO SF OD SU WZ TZ TG TS UG ZA ZI"
-    ).split(),
-    "americas": (
-        "AC AR AA BF BB BH BD BL BR CA CJ CI CO CS CU DO DR EC ES GJ GT GY HA HO JM MX NU PM "
-        "PA PE RQ NS TD US UY VE"
-    ).split(),
-    "asia": (
-        "AF AM AJ BA BG BT BX CB CH TT GG HK IN ID IR IZ IS JA JO KZ KU KG LA LE MC MY MV MG "
-        "BM NP KN MU WE PK RP QA SA SN KS CE SY TW TI TH TX AE UZ VM YM"
-    ).split(),
-    "europe": (
-        "UK AL AN AU BO BE BK BU HR CY EZ DA EN EU FO FI FR GM GR HU IC EI IM IT KV LG LS LH "
-        "LT LU MT MD MN MJ MW NL MK NO PL PO RO RS LO SI SP SW SZ TU UP"
-    ).split(),
-    "oceania": "AS FJ KR NC NZ PP WS BP TN NH".split(),
+    "americas": [
+        "AC", "AR", "AA", "BF", "BB", "BH", "BD", "BL", "BR", "CA", "CJ", "CI", "CO", "CS", "CU", "DO",
+        "DR", "EC", "ES", "GJ", "GT", "GY", "HA", "HO", "JM", "MX", "NU", "PM", "PA", "PE", "RQ", "NS",
+        "TD", "US", "UY", "VE",
+    ],
+    "europe": [
+        "UK", "AL", "AN", "AU", "BO", "BE", "BK", "BU", "HR", "CY", "EZ", "DA", "EN", "EU", "FO", "FI",
+        "FR", "GM", "GR", "HU", "IC", "EI", "IM", "IT", "KV", "LG", "LS", "LH", "LT", "LU", "MT", "MD",
+        "MN", "MJ", "MW", "NL", "MK", "NO", "PL", "PO", "RO", "RS", "LO", "SI", "SP", "SW", "SZ", "TU",
+        "UP",
+    ],
+    "africa": [
+        "AG", "AO", "BN", "BC", "UV", "BY", "CM", "CV", "CT", "CD", "CN", "CF", "DJ", "EG", "EK", "ER",
+        "ET", "GB", "GA", "GH", "GV", "PU", "IV", "KE", "LT", "LI", "LY", "MA", "MI", "ML", "MR", "MP",
+        "MO", "MZ", "WA", "NG", "NI", "CG", "RW", "TP", "SG", "SE", "SL", "SO", "SF", "OD", "SU", "WZ",
+        "TZ", "TG", "TS", "UG", "ZA", "ZI",
+    ],
+    "asia": [
+        "AF", "AM", "AJ", "BA", "BG", "BT", "BX", "CB", "CH", "TT", "GG", "HK", "IN", "ID", "IR", "IZ",
+        "IS", "JA", "JO", "KZ", "KU", "KG", "LA", "LE", "MC", "MY", "MV", "MG", "BM", "NP", "KN", "MU",
+        "WE", "PK", "RP", "QA", "SA", "SN", "KS", "CE", "SY", "TW", "TI", "TH", "TX", "AE", "UZ", "VM",
+        "YM",
+    ],
+    "oceania": [
+        "AS", "FJ", "KR", "NC", "NZ", "PP", "WS", "BP", "TN", "NH",
+    ],
 }
 
 # --- fixed values: English names of language codes --------------------------
@@ -114,22 +128,23 @@ class PipelineConfig:
     regions: Mapping[str, Any] = field(default_factory=lambda: REGION_CODES)
     max_records: int = 250
     window_hours: int = 6
-    raw_dataset: str = "currency_devaluation_main"
+    raw_dataset: str = RAW_DATASET
 
     # enrich
-    max_article_chars: int = 20_000
+    # a cut of page texts and of the words that sentiment counts; None takes whole texts
+    max_article_chars: int | None = None
     chunk_chars: int = 4_500
     basis_chars: int = 50
     short_text_word_threshold: int = 50
-    sentiment_max_tokens: int = 8_192
+    sentiment_max_tokens: int | None = None
     entity_kinds: tuple[str, ...] = ("GPE", "ORG", "MONEY")
     base_columns: tuple[str, ...] = ("URL", "Date", "Title", "Country", "Domain", "Keywords")
-    enriched_dataset: str = "translation_summary"
+    enriched_dataset: str = ENRICHED_DATASET
     target_language: str = "en"
 
     # score
     conf_threshold: float = 0.70
-    rollup_dataset: str = "score_groupby"
+    rollup_dataset: str = ROLLUP_DATASET
 
     # word tables: a mapping, or a DataFrame of any size
     language_profile: Any = field(default_factory=lambda: LANGUAGE_PROFILE)

@@ -14,11 +14,14 @@ def _blocks(*tags: str) -> str:
 
 
 # A literal first character lets the matcher skip plain text quickly.
-HIDDEN = "(?is)<(?:!--.*?-->|" + _blocks("script", "style", "noscript", "template", "svg") + ")"
-BOILERPLATE = "(?is)<(?:" + _blocks("nav", "footer", "aside", "form", "button", "select", "iframe") + ")"
-CONTAINERS = [rf"(?is)<{t}(?:\s[^>]*)?>(.+)</{t}\s*>" for t in ("article", "main", "body")]
+HIDDEN_TAGS = ("script", "style", "noscript", "template", "svg")
+BOILERPLATE_TAGS = ("nav", "footer", "aside", "form", "button", "select", "iframe")
+HIDDEN = "(?is)<(?:!--.*?-->|" + _blocks(*HIDDEN_TAGS) + ")"
+BOILERPLATE = "(?is)<(?:" + _blocks(*BOILERPLATE_TAGS) + ")"
+CONTAINER_TAGS = ("article", "main", "body")
 INLINE_TAG = (r"(?i)</?(?:a|abbr|b|cite|code|em|font|i|kbd|mark|q|s|small|span|strong|sub|sup|u)"
               r"(?:\s[^>]*)?/?>")
+MARK = "\ufdd0"  # a code point that stands for no character
 ANY_TAG = r"<(?:/?[A-Za-z]|!)[^>]*>"
 
 # --- fixed values: named character references (``&amp;`` is handled last) ---
@@ -53,21 +56,56 @@ def unescape(text: Column) -> Column:
     return F.when(text.contains("&"), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(text)
 
 
+def _upto_last(text: Column, end: str) -> Column:
+    """The text up to its last match of ``end``, ``""`` without one."""
+    return F.regexp_extract(text, rf"(?is)^.*{end}", 0)
+
+
+def _mark_unclosed(df: DataFrame, out: str, opening: str, end: str, marked: str) -> DataFrame:
+    """Put ``MARK`` into openings that no ``end`` follows.
+
+    Patterns that look for the end then pass them by; else each would scan the
+    rest of the page for nothing, and a page of such openings would take time
+    by the square of its length. They are still removed as tags; in what is no
+    tag the mark is taken out again.
+    """
+    page, head = F.col(out), F.col("_head")
+    return (df.withColumn("_head", F.when(page.rlike(opening), _upto_last(page, end)))
+            .withColumn(out, F.when(head.isNull(), page).otherwise(F.concat(
+                head, F.regexp_replace(F.substring(page, F.length(head) + 1, F.length(page)), opening, marked))))
+            .drop("_head"))
+
+
+def _container(page: Column, tag: str) -> Column:
+    """What the first opening of a tag and its last end hold; null if there is none. Each opening before the last end matches."""
+    found = F.regexp_extract_all(_upto_last(page, rf"</{tag}\s*>"), F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.+)</{tag}\s*>"), F.lit(1))
+    return F.when(page.rlike(rf"(?i)<{tag}[\s>]"), F.try_element_at(found, F.lit(1)))
+
+
 def add_main_text(df: DataFrame, html: str, out: str) -> DataFrame:
     """Add column ``out`` with the article text of column ``html``, ``""`` if there is none.
 
-    Steps are separate projections so that each pattern runs once per page.
+    Steps are separate projections so that each pattern runs once per page, and
+    every pattern takes time in proportion to the page.
     """
-    page = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), HIDDEN, "")
-    # Null without a match, so each container is looked for once.
-    box = F.coalesce(*[F.try_element_at(F.regexp_extract_all(F.col(out), F.lit(c), F.lit(1)), F.lit(1))
-                       for c in CONTAINERS], F.col(out))
-    plain = F.regexp_replace(
-        F.regexp_replace(F.regexp_replace(F.col(out), BOILERPLATE, ""), INLINE_TAG, ""), ANY_TAG, " ")
+    def mark_tags(rows: DataFrame, tags: tuple[str, ...]) -> DataFrame:
+        for tag in tags:
+            rows = _mark_unclosed(rows, out, rf"(?i)<({tag})(?=[\s>])", rf"</{tag}\s*>", f"<$1{MARK}")
+        return rows
+
+    rows = df.withColumn(out, F.coalesce(F.col(html), F.lit("")))
+    rows = mark_tags(_mark_unclosed(rows, out, "<!--", "-->", f"<!{MARK}--"), HIDDEN_TAGS)
+    rows = rows.withColumn(out, F.regexp_replace(F.col(out), HIDDEN, ""))
+    rows = rows.withColumn(out, F.coalesce(*[_container(F.col(out), t) for t in CONTAINER_TAGS], F.col(out)))
+    rows = mark_tags(rows, BOILERPLATE_TAGS)
+    rows = rows.withColumn(out, F.regexp_replace(F.col(out), BOILERPLATE, ""))
+    # Behind the last ">" no tag ends.
+    rows = rows.withColumn("_head", _upto_last(F.col(out), ">"))
+    plain = F.regexp_replace(F.regexp_replace(F.col("_head"), INLINE_TAG, ""), ANY_TAG, " ")
     return (
-        df.withColumn(out, page)
-        .withColumn(out, box)
-        .withColumn(out, plain)
+        rows.withColumn(out, F.replace(F.concat(
+            plain, F.substring(F.col(out), F.length("_head") + 1, F.length(out))), F.lit(MARK), F.lit("")))
+        .drop("_head")
         .withColumn(out, unescape(F.col(out)))
         .withColumn(out, squeeze(F.col(out)))
     )

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mediasignal.functions import dates, text, themes, urls
 
 
+def reply_object(status: Column, body: Column) -> Column:
+    """The body of a reply with status 200 as a variant, null unless it is a JSON object."""
+    parsed = F.when(status == 200, F.try_parse_json(body))
+    return F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed)
+
+
 def usable_responses(responses: DataFrame) -> DataFrame:
     """Replies with status 200 whose body is a JSON object."""
-    return responses.where((F.col("status") == 200) & F.ltrim(F.col("body")).startswith("{"))
+    return responses.where(reply_object(F.col("status"), F.col("body")).isNotNull())
 
 
 def drop_empty_url(hits: DataFrame) -> DataFrame:

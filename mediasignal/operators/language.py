@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mediasignal.config import PipelineConfig
 from mediasignal.functions.text import default_text, words_lower
 from mediasignal.operators.lookup import entries, is_bounded, lookup_join
+from mediasignal.session import staged
 
 UNKNOWN = "unknown"
 
@@ -36,6 +37,8 @@ def _in_row(df: DataFrame, text: str, out: str, profile: list[tuple]) -> DataFra
     for lang, token, weight in profile:
         weights[lang][token] += weight
     tokens = sorted({token for words in weights.values() for token in words})
+    if not tokens:
+        return df.withColumn(out, F.lit(UNKNOWN))
 
     def hits(words: list[str]) -> Column:
         return F.size(F.filter(F.col("_hits"), lambda w: w.isin(words))).cast("long")
@@ -70,11 +73,20 @@ def _by_join(df: DataFrame, key: str, text: str, out: str, profile: DataFrame,
 
 
 def add_language_name(df: DataFrame, code: str, out: str, config: PipelineConfig) -> DataFrame:
-    """Add the display name of a language code, ``Unknown`` if it has none."""
+    """Add the display name of a language code, ``Unknown`` if it has none.
+
+    A joined table is first cut to the codes that occur, of which there are as
+    many as languages; the articles then stay where they are.
+    """
     names = entries(config.language_names, ("code", "name"), config, df.sparkSession)
     if isinstance(names, DataFrame):
         side = names.select(F.col("code").alias("_lookup"), F.col("name").alias(out))
-        joined = lookup_join(df.withColumn("_lookup", F.col(code)), side, "_lookup", "left", df.columns, config)
+        if not is_bounded(side, config):
+            codes = df.select(F.col(code).alias("_lookup")).distinct()
+            side = staged(side.join(codes, "_lookup", "left_semi"), "names")
+        joined = lookup_join(df.withColumn("_lookup", F.col(code)), side, "_lookup", "left", df.columns[:1], config)
         return joined.drop("_lookup").withColumn(out, default_text(F.col(out), "Unknown"))
+    if not names:
+        return df.withColumn(out, F.lit("Unknown"))
     literal = F.create_map(*[F.lit(x) for pair in names for x in pair])
     return df.withColumn(out, default_text(literal[F.col(code)], "Unknown"))

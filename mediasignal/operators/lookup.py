@@ -12,7 +12,7 @@ All three give the same rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,29 +31,69 @@ TABLES = {
 
 def resolve_tables(config: PipelineConfig, spark) -> PipelineConfig:
     """Decide the form of every word table once, so later steps do not measure again."""
-    sized = {name: entries(getattr(config, name), columns, config, spark)
-             for name, columns in TABLES.items()}
-    return replace(config, inline_entries=0, **sized)
+    return replace(config, **{name: CleanTable(entries(getattr(config, name), columns, config, spark))
+                              for name, columns in TABLES.items()})
 
 
 def has_joined_tables(config: PipelineConfig) -> bool:
-    return any(isinstance(getattr(config, name), DataFrame) for name in TABLES)
+    tables = (getattr(config, name) for name in TABLES)
+    return any(isinstance(t.rows if isinstance(t, CleanTable) else t, DataFrame) for t in tables)
+
+
+# How rows of one key become one entry: the columns of the key, and the aggregate of the last column.
+_ONE_ENTRY = {
+    ("lang", "token", "weight"): F.sum,
+    ("code", "name"): F.min,
+    ("src", "dst"): F.min,
+    ("token", "kind"): F.min,
+    ("phrase", "kind"): None,
+}
+
+
+def clean_entries(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per entry, whatever form the table takes later.
+
+    Rows with a null are left out. Repeated keys are added up in a language
+    profile and keep the least value elsewhere; a phrase may have several kinds.
+    """
+    known = frame.select(*columns).dropna()
+    combine = _ONE_ENTRY[tuple(columns)]
+    if combine is None:
+        return known.distinct()
+    *keys, value = columns
+    return known.groupBy(*keys).agg(combine(value).alias(value))
 
 
 def entries(table, columns: Sequence[str], config: PipelineConfig, spark) -> list[tuple] | DataFrame:
-    """``table`` as a list of tuples if it is small, as a DataFrame otherwise."""
+    """``table`` as a list of tuples if it is small, as a DataFrame otherwise; see ``clean_entries``."""
+    if isinstance(table, CleanTable):
+        return table.rows
     if isinstance(table, DataFrame):
-        frame = table.select(*columns)
+        frame = clean_entries(table, columns)
         if config.inline_entries <= 0:
             return frame
         head = frame.limit(config.inline_entries + 1).collect()
-        return [tuple(r) for r in head] if len(head) <= config.inline_entries else frame
-    if isinstance(table, list):
-        return table
-    rows = flatten(table)
+        return sorted(tuple(r) for r in head) if len(head) <= config.inline_entries else frame
+    rows = [r for r in flatten(table) if None not in r]
+    combine = {F.sum: sum, F.min: min, None: None}[_ONE_ENTRY[tuple(columns)]]
+    if combine is None:
+        rows = sorted(set(rows))
+    else:
+        groups: dict[tuple, list] = {}
+        for *key, value in rows:
+            groups.setdefault(tuple(key), []).append(value)
+        rows = [(*key, combine(values)) for key, values in groups.items()]
     if len(rows) <= config.inline_entries:
         return rows
-    return spark.createDataFrame(rows, list(columns))
+    types = ["bigint" if c == "weight" else "string" for c in columns]
+    return spark.createDataFrame(rows, ", ".join(f"{c} {t}" for c, t in zip(columns, types)))
+
+
+@dataclass(frozen=True)
+class CleanTable:
+    """Entries whose form is decided: a list to be written into expressions, or a DataFrame to be joined."""
+
+    rows: list[tuple] | DataFrame
 
 
 def flatten(table: Mapping) -> list[tuple]:

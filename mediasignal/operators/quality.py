@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediasignal.functions import dates
 from mediasignal.functions.text import norm_label, percent
+from mediasignal.operators.articles import reply_object
 from mediasignal.operators.sentiment import LABEL, SCORE
 
 
@@ -39,7 +42,7 @@ def drop_counts(df: DataFrame) -> DataFrame:
 
 def request_counts(responses: DataFrame) -> DataFrame:
     """Requests per country and day, and one row with null keys for the whole run."""
-    usable = F.count_if((F.col("status") == 200) & F.ltrim(F.col("body")).startswith("{"))
+    usable = F.count_if(reply_object(F.col("status"), F.col("body")).isNotNull())
     per_day = responses.groupBy("code", "day").agg(
         F.count(F.lit(1)).alias("requests"), usable.alias("usable"))
     total = per_day.agg(F.sum("requests").alias("requests"), F.sum("usable").alias("usable")).select(
@@ -47,11 +50,31 @@ def request_counts(responses: DataFrame) -> DataFrame:
     return per_day.unionByName(total)
 
 
-def stage_summary(stage: str, before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows in and out of a stage and the percentage done."""
-    marks = before.select(F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(
-        after.select(F.lit(0).alias("a"), F.lit(1).alias("b")))
-    counted = marks.agg(F.coalesce(F.sum("a"), F.lit(0)).alias("rows_in"),
-                        F.coalesce(F.sum("b"), F.lit(0)).alias("rows_out"))
+def request_details(responses: DataFrame) -> DataFrame:
+    usable = F.count_if(reply_object(F.col("status"), F.col("body")).isNotNull())
+    return responses.agg(F.concat(F.lit("usable="), usable.cast("string")).alias("details"))
+
+
+def label_details(df: DataFrame) -> DataFrame:
+    """``label=count`` in label order; there are few labels."""
+    each = label_distribution(df).select(F.concat_ws("=", "label", F.col("n").cast("string")).alias("part"))
+    return each.agg(F.array_join(F.array_sort(F.collect_list("part")), ", ").alias("details"))
+
+
+def drop_details(df: DataFrame) -> DataFrame:
+    parts = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in ("bad_score_or_date", "duplicate_urls")]
+    return drop_counts(df).select(F.concat_ws(", ", *parts).alias("details"))
+
+
+def stage_summary(stage: str, before: DataFrame, after: DataFrame, details: DataFrame | None = None) -> DataFrame:
+    """Rows in and out of a stage, the percentage done and, if given, the one text of ``details``."""
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("string")
+    counts = [before.agg(F.count(F.lit(1)).alias("a")).select("a", zero.alias("b"), none.alias("d")),
+              after.agg(F.count(F.lit(1)).alias("b")).select(zero.alias("a"), "b", none.alias("d"))]
+    if details is not None:
+        counts.append(details.select(zero.alias("a"), zero.alias("b"), F.col("details").alias("d")))
+    counted = reduce(DataFrame.unionByName, counts).agg(
+        F.sum("a").alias("rows_in"), F.sum("b").alias("rows_out"), F.max("d").alias("details"))
     return counted.select(F.lit(stage).alias("stage"), "rows_in", "rows_out",
-                          percent(F.col("rows_out"), F.col("rows_in")).alias("percent"))
+                          percent(F.col("rows_out"), F.col("rows_in")).alias("percent"),
+                          *(["details"] if details is not None else []))

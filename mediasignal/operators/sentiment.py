@@ -17,6 +17,7 @@ from mediasignal.operators.lookup import entries, is_bounded, lookup_join
 
 LABEL = "Model Sentiment Label"
 SCORE = "Model Sentiment Score"
+# --- fixed values: labels of texts without a score ---
 FAILED = "[SENTIMENT FAILED]"
 NO_CONTENT = "[failed - no content]"
 # Order of preference when counts are equal.
@@ -48,12 +49,13 @@ def label_and_score(counts: dict[str, Column]) -> tuple[Column, Column]:
     top = F.greatest(*counts.values())
     label = F.coalesce(*[F.when(counts[k] == top, F.lit(k)) for k in KINDS])
     total = sum(counts.values(), F.lit(len(KINDS)).cast("long"))
-    cents = F.floor(((top + 1) * 200 + total) / (total * 2))
+    cents = F.call_function("div", (top + 1) * 200 + total, total * 2)
     return label, cents.cast("double") / 100
 
 
 def _tokens(text: str, config: PipelineConfig) -> Column:
-    return F.slice(words_lower(F.col(text)), 1, config.sentiment_max_tokens)
+    words = words_lower(F.col(text))
+    return words if config.sentiment_max_tokens is None else F.slice(words, 1, config.sentiment_max_tokens)
 
 
 def _count_in_row(df: DataFrame, text: str, polarity: list[tuple], config: PipelineConfig) -> DataFrame:

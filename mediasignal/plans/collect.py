@@ -17,12 +17,17 @@ from mediasignal.sources.responses import hits
 FIRST = ("Date", "win", "code", "ord", "pos")
 
 
+def replies_of_week(responses: DataFrame, run_date: date | None = None) -> DataFrame:
+    """All landed replies, or those asked for the week that holds ``run_date``."""
+    if run_date is None:
+        return responses
+    day = F.lit(run_date.isoformat()).cast("date")
+    return responses.where(F.col("day").between(dates.week_start(day), dates.week_end(day)))
+
+
 def found_articles(responses: DataFrame, run_date: date | None = None) -> DataFrame:
     """Article rows, copies included, of all landed replies or of one week."""
-    if run_date is not None:
-        day = F.lit(run_date.isoformat()).cast("date")
-        responses = responses.where(F.col("day").between(dates.week_start(day), dates.week_end(day)))
-    return article_rows(drop_empty_url(hits(responses)))
+    return article_rows(drop_empty_url(hits(replies_of_week(responses, run_date))))
 
 
 def collect(responses: DataFrame, run_date: date | None = None) -> DataFrame:

@@ -39,9 +39,11 @@ def add_status(df: DataFrame) -> DataFrame:
 
 
 def readable_text(config: PipelineConfig) -> Column:
-    """The page text, cut to ``max_article_chars`` unless it has fewer words than
-    the short-text threshold."""
+    """The page text; with ``max_article_chars`` cut to so many unless it has fewer
+    words than the short-text threshold."""
     full = F.col("text_full")
+    if config.max_article_chars is None:
+        return full
     long = tx.has_words(full, config.short_text_word_threshold)
     return F.when(long, tx.cap(full, config.max_article_chars)).otherwise(full)
 
@@ -89,7 +91,7 @@ def enrich_rows(articles: DataFrame, pages: DataFrame, config: PipelineConfig) -
     config = resolve_tables(config, articles.sparkSession)
     named = merge_spellings(articles, URL=("url", "URL"), Title=("title", "Title"))
     wanted = named.select("URL", "Title").where(urls.eligible(F.col("URL")))
-    full = _signals(wanted, _needed(pages, wanted, size_of(wanted.select("URL")), config), config)
+    full = _signals(wanted, pages, config)
     return full.select(
         "URL", "Translated Title", "Translated Text", "Language", f"`{LABEL}`", f"`{SCORE}`",
         F.col("Enriched Keywords").alias("Keywords"),
@@ -103,21 +105,22 @@ def join_enriched(base: DataFrame, results: DataFrame) -> DataFrame:
     return base.join(renamed, "URL", "left").select(*[f"`{c}`" for c in order])
 
 
-def enrich(articles: DataFrame, pages: DataFrame, config: PipelineConfig) -> DataFrame:
-    """Base rows with their enrichment, or the base rows alone if none is eligible.
+def enrich(articles: DataFrame, pages: DataFrame, config: PipelineConfig, few: bool = False) -> DataFrame:
+    """Base rows with their enrichment; the columns of a row that isn't eligible stay null.
 
     Same rows as ``join_enriched(base, enrich_rows(base, pages))``, in one pass:
     results never leave their base row, so the article and page tables meet in
-    a single shuffle by URL.
+    a single shuffle by URL. Nothing is counted while the plan is made, unless
+    the caller says that a stored table holds ``few`` articles: if a count bears
+    that out, other pages are dropped while scanning.
     """
     base = base_articles(articles, config)
     if "URL" not in base.columns:
         return base
-    wanted = articles.select("URL").where(urls.eligible(F.col("URL")))
-    size = size_of(wanted)
-    if size[0] == 0:
-        return base
-    pages = _needed(pages, wanted, size, config)
+    if few:
+        wanted = articles.select("URL").where(urls.eligible(F.col("URL")))
+        if within_bounds(*size_of(wanted), config):
+            pages = pages_of(pages, wanted)
     config = resolve_tables(config, articles.sparkSession)
     rows = base if "Title" in base.columns else base.withColumn("Title", F.lit(""))
     full = _signals(rows, pages, config)
@@ -127,10 +130,6 @@ def enrich(articles: DataFrame, pages: DataFrame, config: PipelineConfig) -> Dat
     return full.select(*[f"`{c}`" for c in base.columns], *results, domain)
 
 
-def _needed(pages: DataFrame, wanted: DataFrame, size: tuple[int, int], config: PipelineConfig) -> DataFrame:
-    return pages_of(pages, wanted) if within_bounds(*size, config) else pages
-
-
 def _signals(rows: DataFrame, pages: DataFrame, config: PipelineConfig) -> DataFrame:
     joined = join_pages(rows, pages)
     if has_joined_tables(config):

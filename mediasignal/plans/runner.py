@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from mediasignal import schemas
 from mediasignal.config import PipelineConfig
 from mediasignal.functions import dates
-from mediasignal.operators.quality import stage_summary
+from mediasignal.operators.quality import drop_details, label_details, request_details, stage_summary
 from mediasignal.operators.score import score
-from mediasignal.plans.collect import collect, found_articles
+from mediasignal.operators.sentiment import LABEL
+from mediasignal.plans.collect import collect, found_articles, replies_of_week
 from mediasignal.plans.enrich import enrich
 from mediasignal.sources.datasets import Datasets
 
@@ -30,8 +31,13 @@ def run_stages(datasets: Datasets, responses: DataFrame | None = None, pages: Da
     Each stage writes its dataset and the next one reads it; a stage that is not
     picked is taken from its dataset as it stands. Empty article tables are not
     written, an empty rollup is. The week is the one of ``run_date``, by default
-    today; ``every_week`` takes all landed replies. With ``keep_weeks`` the
-    articles of other weeks stay in the raw dataset, as partitions by ``run_week``.
+    today; ``every_week`` takes all landed replies. With ``keep_weeks`` the raw
+    and the enriched dataset are partitioned by ``run_week``, a run replaces the
+    partitions of its week, and the rollup covers all weeks that are stored.
+
+    The summary counts the week's replies and articles for *collect*, articles
+    and those with a sentiment label for *enrich*, rows read and rollup rows for
+    *score*; ``details`` names usable replies, labels and dropped rows.
     """
     config = config or PipelineConfig()
     unknown = set(stages) - set(STAGES)
@@ -39,35 +45,39 @@ def run_stages(datasets: Datasets, responses: DataFrame | None = None, pages: Da
         raise ValueError(f"unknown stage(s): {sorted(unknown)}")
     summaries = []
     base: DataFrame | None = None
+    day = None if every_week else _as_date(run_date)
+    by = "run_week" if keep_weeks else None
+
+    def of_week(stored: DataFrame) -> DataFrame:
+        if by is None or day is None:
+            return stored
+        return stored.where(F.col(by) == dates.week_start(F.lit(day.isoformat()).cast("date")))
+
+    def with_week(df: DataFrame) -> DataFrame:
+        week = dates.week_start(dates.parse_lenient(F.col("Date")).cast("date"))
+        return df.withColumn(by, week) if by else df
 
     if "collect" in stages:
-        day = None if every_week else _as_date(run_date)
-        articles, found = collect(responses, day), found_articles(responses, day)
-        if keep_weeks:
-            week = dates.week_start(dates.parse_lenient(F.col("Date")).cast("date"))
-            wrote = datasets.write(config.raw_dataset, articles.withColumn("run_week", week),
-                                   on_empty="skip", partition_by="run_week", probe=found)
-            stored = datasets.read(config.raw_dataset) if wrote else None
-            if stored is not None and day is not None:
-                stored = stored.where(F.col("run_week") == dates.week_start(F.lit(day.isoformat()).cast("date")))
-        else:
-            wrote = datasets.write(config.raw_dataset, articles, on_empty="skip", probe=found)
-            stored = datasets.read(config.raw_dataset, schema=schemas.ARTICLES_RAW) if wrote else None
+        asked = replies_of_week(responses, day)
+        wrote = datasets.write(config.raw_dataset, with_week(collect(responses, day)), on_empty="skip",
+                               partition_by=by, probe=found_articles(responses, day))
+        stored = of_week(datasets.read(config.raw_dataset)) if wrote else None
         base = stored if stored is not None else datasets.spark.createDataFrame([], schemas.ARTICLES_RAW)
-        summaries.append(stage_summary("collect", responses, base))
+        summaries.append(stage_summary("collect", asked, base, request_details(asked)))
 
     if "enrich" in stages:
         if base is None:
-            base = datasets.read(config.raw_dataset)
-        result = enrich(base, pages, config)
-        wrote = datasets.write(config.enriched_dataset, result, on_empty="skip", probe=base)
-        done = datasets.read(config.enriched_dataset) if wrote else result
-        summaries.append(stage_summary("enrich", base, done))
+            base = of_week(datasets.read(config.raw_dataset))
+        result = with_week(enrich(base, pages, config, few=True))
+        wrote = datasets.write(config.enriched_dataset, result, on_empty="skip", partition_by=by, probe=base)
+        done = of_week(datasets.read(config.enriched_dataset)) if wrote else result
+        labelled = done.where(F.col(f"`{LABEL}`").isNotNull())
+        summaries.append(stage_summary("enrich", base, labelled, label_details(labelled)))
 
     if "score" in stages:
         enriched = datasets.read(config.enriched_dataset)
         datasets.write(config.rollup_dataset, score(enriched, config), on_empty="write")
-        summaries.append(stage_summary("score", enriched, datasets.read(config.rollup_dataset)))
+        summaries.append(stage_summary("score", enriched, datasets.read(config.rollup_dataset), drop_details(enriched)))
 
     return reduce(DataFrame.unionByName, summaries)
 

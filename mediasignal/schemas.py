@@ -1,7 +1,7 @@
 """Declared schemas of the stage tables."""
 
 from pyspark.sql.types import (
-    ArrayType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+    DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
     VariantType,
 )
 
@@ -20,14 +20,12 @@ RESPONSE = StructType([
     StructField("body", StringType()),
 ])
 
-# The part of a reply body that is read.
-RESPONSE_BODY = StructType([
-    StructField("articles", ArrayType(StructType([
-        StructField("url", StringType()),
-        StructField("title", StringType()),
-        StructField("sourcecountry", StringType()),
-        StructField("themes", VariantType()),
-    ]))),
+# The fields that are read from each entry of a reply's list ``articles``.
+HIT = StructType([
+    StructField("url", StringType()),
+    StructField("title", StringType()),
+    StructField("sourcecountry", StringType()),
+    StructField("themes", VariantType()),
 ])
 
 ARTICLES_RAW = StructType(_strings("Date", "Title", "URL", "Domain", "Country", "Keywords"))

@@ -10,8 +10,8 @@ from mediasignal.operators.dedupe import keep_first
 
 
 def one_page_per_url(pages: DataFrame) -> DataFrame:
-    """The best landing of each URL: lowest status first, then the smaller text."""
-    order = [F.col("status").asc_nulls_last(), F.col("text").asc_nulls_last()]
+    """The best landing of each URL: lowest status first, then the smaller MD5 of the text."""
+    order = [F.col("status").asc_nulls_last(), F.md5(F.col("text").cast("binary")).asc_nulls_last()]
     return keep_first(pages.where(F.col("URL").isNotNull()), "URL", order)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mediasignal import schemas
-from mediasignal.operators.articles import usable_responses
+from mediasignal.operators.articles import reply_object
 
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
@@ -16,9 +16,12 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame:
 def hits(responses: DataFrame) -> DataFrame:
     """One row per search hit with its place ``pos`` in the reply.
 
-    Failed replies, bodies that are not a JSON object and empty lists give no rows.
+    Failed replies, bodies that are not a JSON object and empty lists give no
+    rows; a list entry that is not an object is left out, the others stay.
     """
-    parsed = usable_responses(responses).withColumn("_r", F.from_json("body", schemas.RESPONSE_BODY))
-    return (parsed.select("ord", "day", "win", "code", F.posexplode("_r.articles").alias("pos", "_a"))
-            .where(F.col("_a").isNotNull())
-            .select("ord", "day", "win", "code", "pos", "_a.*"))
+    reply = responses.withColumn("_r", reply_object(F.col("status"), F.col("body"))).where(F.col("_r").isNotNull())
+    listed = reply.select("ord", "day", "win", "code", F.posexplode(
+        F.try_variant_get("_r", "$.articles", "array<variant>")).alias("pos", "_a"))
+    return listed.where(F.schema_of_variant("_a").startswith("OBJECT")).select(
+        "ord", "day", "win", "code", "pos",
+        *[F.try_variant_get("_a", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schemas.HIT.fields])

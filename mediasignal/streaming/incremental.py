@@ -2,38 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from mediasignal import schemas
 from mediasignal.config import PipelineConfig
 from mediasignal.plans.enrich import base_articles, enrich
+from mediasignal.session import staged
 
-ENRICHED_BY_BATCH = StructType([*schemas.ARTICLES_ENRICHED.fields, StructField("batch", LongType())])
+ENRICHED_BY_BATCH = StructType([*schemas.ARTICLES_ENRICHED.fields, StructField("run", StringType()),
+                                StructField("batch", LongType()), StructField("part", LongType())])
+# Folders of the sink that hold the articles of one hash value each.
+PARTS = 64
 
 
 def enrich_new_files(spark: SparkSession, landing: str, pages: DataFrame, sink: str, checkpoint: str,
                      config: PipelineConfig, max_files: int = 100) -> None:
     """Enrich the article files that landed since the last call, and stop.
 
-    Each micro-batch replaces its own ``batch=N`` folder of the sink, so a batch
-    that runs again after a failure leaves no second copy. Articles already in
-    the sink are not enriched again.
+    Of an article's copies the one that lands first counts, among those that
+    land together the first by date. Each micro-batch replaces its own
+    ``run=R/batch=N`` folder of the sink, ``R`` standing for the checkpoint, so a
+    batch that runs again after a failure leaves no second copy and a new
+    checkpoint overwrites nothing. Articles already in the sink are not enriched
+    again; they are looked for in the folders of their URLs' hash values only.
     """
+    run = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def write(rows: DataFrame, batch: int) -> None:
-        known = (spark.read.schema(ENRICHED_BY_BATCH).parquet(sink)
-                 .where(F.col("batch") < batch).select(F.col("URL").alias("_known"))) if batch else None
-        fresh = base_articles(rows, config)
-        if known is not None:
-            fresh = fresh.join(known, F.col("URL").eqNullSafe(F.col("_known")), "left_anti")
-        result = enrich(fresh, pages, config)
+        fresh = staged(base_articles(rows, config).withColumn("part", part_of(F.col("URL"))), "landed")
+        parts = [r.part for r in fresh.select("part").distinct().collect()]  # PARTS values at most
+        known = (stored(spark, sink).where(~((F.col("run") == run) & (F.col("batch") >= batch)))
+                 .where(F.col("part").isin(parts)).select(F.col("URL").alias("_known")))
+        fresh = fresh.drop("part").join(known, F.col("URL").eqNullSafe(F.col("_known")), "left_anti")
+        result = enrich(fresh, pages, config, few=True)
         for field in schemas.ARTICLES_ENRICHED.fields:
             if field.name not in result.columns:
                 result = result.withColumn(field.name, F.lit(None).cast(field.dataType))
-        result.select(*[f"`{n}`" for n in schemas.ARTICLES_ENRICHED.fieldNames()]).write.mode(
-            "overwrite").parquet(f"{sink}/batch={batch}")
+        result.select(*[f"`{n}`" for n in schemas.ARTICLES_ENRICHED.fieldNames()],
+                      part_of(F.col("URL")).alias("part")).write.mode("overwrite").partitionBy("part").parquet(
+            f"{sink}/run={run}/batch={batch}")
 
     stream = (spark.readStream.schema(schemas.ARTICLES_RAW)
               .option("maxFilesPerTrigger", max_files).parquet(landing))
@@ -43,7 +55,20 @@ def enrich_new_files(spark: SparkSession, landing: str, pages: DataFrame, sink:
     query.awaitTermination()
 
 
+def part_of(url: Column) -> Column:
+    return F.coalesce(F.pmod(F.xxhash64(url), F.lit(PARTS)), F.lit(0)).cast("long")
+
+
+def stored(spark: SparkSession, sink: str) -> DataFrame:
+    """All rows of the sink with their folders; none if nothing has been written yet."""
+    try:
+        return spark.read.schema(ENRICHED_BY_BATCH).parquet(sink)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ENRICHED_BY_BATCH)
+
+
 def read_enriched(spark: SparkSession, sink: str) -> DataFrame:
     """All batches of the sink as one enriched table."""
-    return spark.read.schema(ENRICHED_BY_BATCH).parquet(sink).select(
-        *[f"`{n}`" for n in schemas.ARTICLES_ENRICHED.fieldNames()])
+    return stored(spark, sink).select(*[f"`{n}`" for n in schemas.ARTICLES_ENRICHED.fieldNames()])

@@ -128,3 +128,15 @@ def test_read_landed_folder(spark, tmp_path):
     replies(spark, GOOD, "not json").write.json(str(tmp_path / "r"))
     df = read_responses(spark, str(tmp_path / "r"))
     assert df.schema == RESPONSE and collect(df).count() == 2
+
+
+@pytest.mark.parametrize("lead", ["", " ", "\n", "\t", "\r\n"])
+def test_blanks_before_a_body(spark, lead):
+    rows = replies(spark, lead + json.dumps({"articles": [{"url": "https://a.example/1"}]}))
+    assert hits(rows).count() == 1 and quality.request_counts(rows).where("code is null").first().usable == 1
+
+
+def test_an_odd_entry_costs_only_itself(spark):
+    body = json.dumps({"articles": [{"url": "https://a.example/1", "title": 7}, "odd", None, 3, [{}], {"url": "https://a.example/2", "themes": {"a": 1}}]})
+    assert [(r.pos, r.url, r.title) for r in hits(replies(spark, body)).orderBy("pos").collect()] == [
+        (0, "https://a.example/1", "7"), (5, "https://a.example/2", None)]

@@ -1,11 +1,14 @@
 """The second stage: decision table, lookups in all three forms, hooks."""
 
+import re
+import time
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from mediasignal import PipelineConfig, enrich
+from mediasignal.functions.html import add_main_text
 from mediasignal.operators.columns import merge_spellings
 from mediasignal.operators.entities import add_entities
 from mediasignal.operators.language import add_language, add_language_name
@@ -120,9 +123,11 @@ def test_columns_and_types(spark):
     assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in ARTICLES_ENRICHED]
 
 
-def test_nothing_eligible_gives_base_only(spark):
+def test_nothing_eligible_keeps_the_columns(spark):
     rows = spark.createDataFrame([article("ftp://a.example/1")], ARTICLES_RAW)
-    assert enrich(rows, spark.createDataFrame([], PAGES), CONFIG).columns == list(CONFIG.base_columns)
+    got = enrich(rows, spark.createDataFrame([], PAGES), CONFIG)
+    assert got.columns == ARTICLES_ENRICHED.fieldNames()
+    assert all(v is None for v in got.first()[6:])
     assert enrich(rows.drop("URL"), spark.createDataFrame([], PAGES), CONFIG).columns == ["Date", "Title", "Country", "Domain", "Keywords"]
 
 
@@ -316,3 +321,71 @@ def test_one_url_may_hold_a_third_of_all_rows(spark):
     assert sum(r[LABEL] == "bullish" for r in got.values()) == 401
     many = run(spark, rows[::-1], pages[::-1], replace(CONFIG, broadcast_rows=0))
     assert sorted(map(str, many.values())) == sorted(map(str, got.values()))
+
+
+# ------------------------------------------------------------------ one meaning for every word table
+ODD_TABLES = {
+    "nulls": [("the", None), (None, "bullish"), ("gain", "bullish"), ("loss", "bearish")],
+    "repeats": [("gain", "bullish"), ("gain", "bearish"), ("loss", "bearish"), ("loss", "bearish")],
+    "empty": [],
+    "2001 rows": [(f"w{i}", "bullish") for i in range(1999)] + [("gain", "bullish"), ("loss", "bearish")],
+}
+
+
+@pytest.mark.parametrize("rows", ODD_TABLES.values(), ids=ODD_TABLES)
+@pytest.mark.parametrize("table, columns, use", [
+    ("language_profile", "lang, token", lambda df, c: add_language(df, "id", "t", "x", c)),
+    ("language_names", "code, name", lambda df, c: add_language_name(df, "t", "x", c)),
+    ("lexicon", "src, dst", lambda df, c: add_translation(df, "id", "t", "x", c)),
+    ("polarity", "token, kind", lambda df, c: add_sentiment(df, "id", "t", c).withColumnRenamed(LABEL, "x")),
+    ("gazetteer", "phrase, kind", lambda df, c: add_entities(df, "id", "t", "x", replace(c, entity_kinds=("bullish",)))),
+])
+def test_odd_tables_mean_the_same_in_every_form(spark, table, columns, use, rows):
+    df = spark.createDataFrame([("a", "gain gain loss"), ("b", "loss"), ("c", "the"), ("d", "gain"), ("e", None)], "id string, t string")
+    frame = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns.split(", ")))
+    if table == "language_profile":
+        frame = frame.selectExpr("token as lang", "lang as token", "1 as weight")
+    results = []
+    for size in (dict(inline_entries=10**6), dict(inline_entries=0), dict(inline_entries=0, broadcast_rows=0, lookup_salts=3), {}):
+        got = use(df, replace(CONFIG, **{table: frame}, **size)).select("id", "x").collect()
+        results.append(sorted(map(tuple, got)))
+    assert all(r == results[0] for r in results) and len(results[0]) == 5
+
+
+def test_texts_are_whole_by_default(spark):
+    long = "the loss " * 5000 + "the gain " * 6000
+    url = "https://a.example/1"
+    got = run(spark, [article(url)], [(url, 200, f"<p>{long}</p>")])[url]
+    assert len(got["Translated Text"]) == len(long.strip()) and got[LABEL] == "bullish"
+
+
+# ------------------------------------------------------------------ pages
+def texts_of(spark, pages):
+    df = spark.createDataFrame(list(enumerate(pages)), "id int, html string")
+    return [r.x for r in add_main_text(df, "html", "x").orderBy("id").collect()]
+
+
+def test_unclosed_elements(spark):
+    assert texts_of(spark, [
+        "<p>a</p><script>b", "<script>x</script>a<script>b", "<!-- c -->a<!-- b", "<nav>n</nav><nav>a", "<article>a<article>b</article>c",
+        "<article>a", "a</article><article>b", "a <b", "<script x", "a<!--b<script>c</script>d", "<style>s</style ><main>m</main><style>t",
+    ]) == ["a b", "a b", "a<!-- b", "a", "a b", "a", "a b", "a <b", "<script x", "a<!--bd", "m"]
+
+
+@pytest.mark.parametrize("piece", ["<script>", "<article>", "<nav>", "<!--", "<a ", "<", "<body "])
+def test_time_grows_with_the_page(spark, piece):
+    def seconds(n):
+        df = spark.createDataFrame([((piece + "x") * n,)], "html string")
+        start = time.perf_counter()
+        add_main_text(df, "html", "x").agg(F.sum(F.length("x"))).collect()
+        return time.perf_counter() - start
+
+    seconds(10)
+    assert seconds(60_000) < 15  # a quadratic pattern takes minutes
+
+
+def test_no_text_in_sort_keys_and_nothing_counted_while_planning(spark):
+    arts = spark.createDataFrame([article("https://a.example/1")], ARTICLES_RAW)
+    plan = enrich(arts, spark.createDataFrame([], PAGES), CONFIG)._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line or "Window" in line]
+    assert sorts and not any(re.search(r"text#\d+ ASC", line) for line in sorts)

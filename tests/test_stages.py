@@ -114,6 +114,46 @@ def test_incremental_equals_batch(spark, tmp_path):
     assert got == sorted(map(str, enrich(total, pages, CONFIG).collect())) and len(got) == 9
 
 
+def test_first_landed_copy_counts_and_new_checkpoints_keep_the_sink(spark, tmp_path):
+    landing, sink = str(tmp_path / "landing"), str(tmp_path / "sink")
+    pages = landed(spark, 9)
+
+    def land(day, urls, mark):
+        rows = [(day, f"title of {day}", f"https://a.example/{i}", "d", "Kenya", "k") for i in urls]
+        spark.createDataFrame(rows, ARTICLES_RAW).coalesce(1).write.mode("append").parquet(landing)
+        enrich_new_files(spark, landing, pages, sink, str(tmp_path / mark), CONFIG)
+
+    land("2024-01-05", range(4), "mark")
+    land("2024-01-02", range(2, 6), "mark")  # earlier dates in a late file
+    land("2024-01-03", range(5, 8), "other")
+    got = {r.URL[-1]: r.Date for r in read_enriched(spark, sink).collect()}
+    assert got == dict.fromkeys("0123", "2024-01-05") | dict.fromkeys("45", "2024-01-02") | dict.fromkeys("67", "2024-01-03")
+    assert read_enriched(spark, sink).count() == 8
+
+
+def test_weeks_one_after_another_equal_one_run(spark, tmp_path):
+    days = [datetime.date(2024, 1, d) for d in (3, 10, 17, 24)]
+    rows = [replies(spark, day, n=3 + i, prefix="ab"[i % 2]) for i, day in enumerate(days)]
+    every = rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+    pages = landed(spark, 9).unionByName(landed(spark, 2, "b"))
+    weekly, whole = (Datasets(spark, str(tmp_path / n)) for n in ("weekly", "whole"))
+    for day in days:
+        run_stages(weekly, every, pages, CONFIG, day, keep_weeks=True)
+    run_stages(whole, every, pages, CONFIG, every_week=True)
+    got, want = (sorted(map(str, s.read(CONFIG.rollup_dataset).collect())) for s in (weekly, whole))
+    assert got == want and weekly.read(CONFIG.enriched_dataset).select("run_week").distinct().count() == 4
+
+
+def test_summary_counts_the_week_and_what_was_enriched(spark, store):
+    odd = spark.createDataFrame([(2, datetime.date(2024, 1, 10), 0, "KE", 200, json.dumps(
+        {"articles": [{"url": "ftp://x.example/1"}]})), (3, datetime.date(2024, 1, 9), 0, "KE", 500, "{}")], RESPONSE)
+    rows = replies(spark, datetime.date(2024, 1, 10)).unionByName(odd).unionByName(replies(spark, datetime.date(2024, 2, 10), prefix="z"))
+    got = run_stages(store, rows, landed(spark), CONFIG, "2024-01-12", keep_weeks=True).collect()
+    assert [tuple(r) for r in got] == [
+        ("collect", 3, 5, 5 / 3 * 100, "usable=2"), ("enrich", 5, 4, 80.0, "bullish=4"),
+        ("score", 5, 1, 20.0, "bad_score_or_date=1, duplicate_urls=0")]
+
+
 def test_staged_table_cuts_lineage(spark):
     df = spark.range(5).withColumn("x", F.col("id") * 2)
     back = staged(df, "t")
