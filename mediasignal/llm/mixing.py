@@ -36,7 +36,7 @@ from mediasignal.session import staged
 
 LEVELS = ["domain", "lang", "source"]
 #: Documents in one range of a leaf's seeded order, about.
-RANGE_ROWS = 10_000
+RANGE_ROWS = 2_000
 
 
 @dataclass(frozen=True)
