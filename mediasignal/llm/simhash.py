@@ -158,9 +158,10 @@ def _labelled(prints: DataFrame, cell_rows: int) -> DataFrame:
     members = each.join(roots, "fp")
     best = members.groupBy("root").agg(F.min("first_id").alias("component_id"))
     linked = members.join(best, "root").select("fp", "root", "component_id")
-    return each.join(linked, "fp", "left").select(
+    # Stored, so that the joins with it are plain ones, whose hot fingerprints Spark splits.
+    return staged(each.join(linked, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"),
-        F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id")), "labels")
 
 
 def near_copies(docs: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
