@@ -132,16 +132,17 @@ def test_first_landed_copy_counts_and_new_checkpoints_keep_the_sink(spark, tmp_p
 
 
 def test_weeks_one_after_another_equal_one_run(spark, tmp_path):
-    days = [datetime.date(2024, 1, d) for d in (3, 10, 17, 24)]
+    days = [datetime.date(2024, 1, d) for d in (3, 10, 17)]
     rows = [replies(spark, day, n=3 + i, prefix="ab"[i % 2]) for i, day in enumerate(days)]
-    every = rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+    every = rows[0].unionByName(rows[1]).unionByName(rows[2])
     pages = landed(spark, 9).unionByName(landed(spark, 2, "b"))
     weekly, whole = (Datasets(spark, str(tmp_path / n)) for n in ("weekly", "whole"))
     for day in days:
-        run_stages(weekly, every, pages, CONFIG, day, keep_weeks=True)
+        run_stages(weekly, every, pages, CONFIG, day, keep_weeks=True,
+                   stages=["collect", "enrich", "score"][:3 if day == days[-1] else 2])
     run_stages(whole, every, pages, CONFIG, every_week=True)
     got, want = (sorted(map(str, s.read(CONFIG.rollup_dataset).collect())) for s in (weekly, whole))
-    assert got == want and weekly.read(CONFIG.enriched_dataset).select("run_week").distinct().count() == 4
+    assert got == want and weekly.read(CONFIG.enriched_dataset).select("run_week").distinct().count() == 3
 
 
 def test_summary_counts_the_week_and_what_was_enriched(spark, store):
