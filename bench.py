@@ -21,6 +21,7 @@ HEADLINE = [
     "gen_grid", "gen_request_url", "io_read_projected", "limit_per_window", "stage_collect", "sc_themes",
     "join_pages", "nlp_extract", "nlp_language", "nlp_language_table", "nlp_translate_body", "nlp_sentiment",
     "nlp_sentiment_table", "nlp_entities", "nlp_entities_known", "nlp_body_choice", "enrich_full",
+    "enrich_full_table", "io_incremental", "stage_run", "nlp_sentiment_ml", "join_enriched_left", "nlp_entities_table",
 ]
 
 
