@@ -32,6 +32,8 @@ from mediasignal.llm.common import whole_text
 from mediasignal.session import staged
 
 CHUNK, OVERLAP = 32_768, 512
+#: Parts that a part of a text is cut into at once.
+FAN = 64
 LIMIT = 4096
 SPACE = "▁"
 
@@ -109,6 +111,25 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, chunk: int = CH
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
+def _chunks(texts: DataFrame, chunk: int, overlap: int) -> DataFrame:
+    """(row, part, first, last): chunks of the texts (row, text), each with ``overlap`` characters of the next one.
+
+    Reaching a place in a text takes time in proportion to what stands before
+    it, so a text is cut into large parts first, those into smaller ones, and
+    these into chunks.
+    """
+    parts, of_parent = texts.select("row", F.col("text").alias("part"), F.lit(True).alias("first"), F.lit(True).alias("last")), 0
+    for size in (chunk * FAN * FAN, chunk * FAN, chunk):
+        # The parent's own characters, without those of its neighbour.
+        own = f"if(last, length(part), {of_parent})"
+        parts = parts.select("row", F.explode(F.expr(f"""transform(array(bigint({own})), own -> transform(
+            sequence(0L, (own - 1) div {size}), i -> struct(
+                substring(part, cast(i * {size} + 1 as int), {min(size + overlap, 2**31 - 1)}) as part, first and i = 0 as first,
+                last and (i + 1) * {size} >= own as last)))[0]""")).alias("c")).select("row", "c.*")
+        of_parent = size
+    return parts
+
+
 def _huge_counts(rows: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
     # Rows of one id and text have one count; the key stands for the row when chunks come together again.
     key = F.sha2(F.col("text").cast("binary"), 256)
@@ -120,9 +141,7 @@ def _huge_counts(rows: DataFrame, path: str, chunk: int, overlap: int) -> DataFr
         if not load(path).plain:
             found = left.select("row", whole_counts(F.col("text"), path).alias("n"))
             return sizes.join(found.withColumnRenamed("n", "n_tokens"), "row").select("doc_id", "n_bytes", "n_tokens")
-        parts = left.select("row", F.explode(F.expr(f"""transform(sequence(0L, (length(text) - 1) div {chunk}), i -> struct(
-            substring(text, cast(i * {chunk} + 1 as int), {chunk + overlap}) as part, i = 0 as first,
-            (i + 1) * {chunk} >= length(text) as last))""")).alias("c")).select("row", "c.*", F.lit(chunk).alias("size"))
+        parts = _chunks(left, chunk, overlap).withColumn("size", F.lit(chunk))
         # Dealt out anew, so that the chunks of one text run side by side.
         counts = staged(parts.repartition(F.xxhash64("row", "part")).mapInPandas(_chunk_counts(path), "row string, n long")
                         .groupBy("row").agg(F.min("n").alias("least"), F.sum("n").alias("n")), "chunks")

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from mediasignal.llm import packing, token_counts
 from mediasignal.llm.tokens import word_encoder
@@ -84,6 +85,17 @@ def test_counts_equal_the_library(make_docs, odd_docs, chunk, overlap):
         assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
 
 
+@pytest.mark.parametrize("chunk, overlap, fan", [(5, 2, 2), (5, 7, 2), (7, 0, 3), (1000, 10, 64), (1 << 29, 512, 64)])
+def test_chunks_follow_one_another(make_docs, monkeypatch, chunk, overlap, fan):
+    monkeypatch.setattr(token_counts, "FAN", fan)
+    texts = {1: "x", 2: "ab😀d" * 5, 3: "".join(map(chr, range(0x4E00, 0x4E00 + 231)))}
+    docs = make_docs(*texts.items()).select(F.col("doc_id").alias("row"), "text")
+    got = token_counts._chunks(docs, chunk, overlap).collect()
+    for row, text in texts.items():
+        want = [(text[i:i + chunk + overlap], i == 0, i + chunk >= len(text)) for i in range(0, len(text), chunk)]
+        assert sorted((r.part, r.first, r.last) for r in got if r.row == row) == sorted(want)
+
+
 def test_misaligned_chunks_are_told():
     model = token_counts.load(PIECES)
     assert model.chunk("a" * 40, True, False, 20) == -1
