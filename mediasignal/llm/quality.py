@@ -12,7 +12,8 @@ The model is fitted on a bounded sample of labelled rows, at most
 covers all rows and whole texts and uses nothing but the text.
 
 Defined cases: null and empty texts are scored as empty texts. A null id is
-never held out and has no label; an id with both labels isn't learned from;
+never held out and has no label; an id with both labels isn't learned from,
+one with several rows once;
 labels other than 0 and 1 are ignored. Without labels of both kinds every score
 is 0.5. Repeated rows get equal scores; empty tables give empty tables; extra
 columns are ignored or, in ``keep_good``, passed through.
@@ -96,7 +97,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> DataFrame:
-    """(label, text as bytes) of at most ``most`` documents of each label, none of them held out."""
+    """(doc_id, label, text as bytes) of at most ``most`` documents of each label, none of them held out."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("other"))
              .where("label = other").select("doc_id", "label"))
@@ -105,7 +106,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROW
         known.where("label = 1").orderBy(*order).limit(most))
     # At most 2 * most rows of an id and a label.
     return docs.select("doc_id", whole_text(F.col("text")).cast("binary").alias("data")).join(
-        F.broadcast(picked), "doc_id").select("label", "data")
+        F.broadcast(picked), "doc_id").select("doc_id", "label", "data")
 
 
 def _newton(pairs: np.ndarray, rounds: int = 30) -> np.ndarray:
@@ -129,7 +130,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> Qualit
     def compute(texts: pd.Series) -> pd.Series:
         return texts.map(features)
 
-    sample = labelled_sample(docs, labels, most).select("label", compute("data").alias("x")).toPandas()
+    # One row for an id, however often it is repeated, so the driver gets 2 * most rows at most.
+    sample = labelled_sample(docs, labels, most).select("doc_id", "label", compute("data").alias("x")).groupBy(
+        "doc_id", "label").agg(F.min("x").alias("x")).toPandas()
     width = len(features(b""))
     if sample["label"].nunique() < 2:
         return QualityModel([0.0] * width, [1.0] * width, [0.0] * 2 * width, 0.0)

@@ -105,3 +105,10 @@ def test_odd_mixing_inputs(odd_docs):
         assert mixing.take_mixed(empty, mix).count() == 0
     none = odd_docs.withColumns({"lang": F.lit(None).cast("string"), "source": F.lit(None).cast("string")})
     assert mixing.mixture(none, mix).where("lang <> '' or source <> ''").isEmpty()
+
+
+def test_repeated_rows_are_learned_once(spark, make_docs):
+    rows = [(i, "plain words of a text " * (i % 5 + 1) if i % 2 else "|||! $$ 12 " * (i % 7 + 1)) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    once = quality.fit(make_docs(*rows), labels)
+    assert any(once.weights) and quality.fit(make_docs(*rows, *rows[:1] * 500, *rows[1:2] * 7), labels) == once
