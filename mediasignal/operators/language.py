@@ -63,9 +63,10 @@ def _in_row(df: DataFrame, text: str, out: str, profile: list[tuple]) -> DataFra
 def _by_join(df: DataFrame, key: str, text: str, out: str, profile: DataFrame,
              config: PipelineConfig) -> DataFrame:
     words = df.select(key, F.explode(words_lower(F.col(text))).alias("token"), F.lit(1).alias("n"))
-    if not is_bounded(profile, config):
+    bounded = is_bounded(profile, config)
+    if not bounded:
         words = words.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
-    scores = (lookup_join(words, profile, "token", "inner", [key], config)
+    scores = (lookup_join(words, profile, "token", "inner", [key], config, bounded)
               .groupBy(key, "lang").agg(F.sum(F.col("n") * F.col("weight")).alias("score"))
               .where("score > 0"))
     best = scores.groupBy(key).agg(F.min_by("lang", F.struct(-F.col("score"), "lang")).alias(out))
@@ -81,10 +82,12 @@ def add_language_name(df: DataFrame, code: str, out: str, config: PipelineConfig
     names = entries(config.language_names, ("code", "name"), config, df.sparkSession)
     if isinstance(names, DataFrame):
         side = names.select(F.col("code").alias("_lookup"), F.col("name").alias(out))
-        if not is_bounded(side, config):
+        bounded = is_bounded(side, config) or None
+        if not bounded:
             codes = df.select(F.col(code).alias("_lookup")).distinct()
             side = staged(side.join(codes, "_lookup", "left_semi"), "names")
-        joined = lookup_join(df.withColumn("_lookup", F.col(code)), side, "_lookup", "left", df.columns[:1], config)
+        joined = lookup_join(df.withColumn("_lookup", F.col(code)), side, "_lookup", "left", df.columns[:1], config,
+                             bounded)
         return joined.drop("_lookup").withColumn(out, default_text(F.col(out), "Unknown"))
     if not names:
         return df.withColumn(out, F.lit("Unknown"))

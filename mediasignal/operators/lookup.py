@@ -123,13 +123,13 @@ def is_bounded(table: DataFrame, config: PipelineConfig) -> bool:
 
 
 def lookup_join(facts: DataFrame, table: DataFrame, on: str, how: str, spread: Sequence[str],
-                config: PipelineConfig) -> DataFrame:
-    """Join ``facts`` with a lookup ``table`` on column ``on``.
+                config: PipelineConfig, bounded: bool | None = None) -> DataFrame:
+    """Join ``facts`` with a lookup ``table`` on column ``on``; ``bounded`` is what ``is_bounded`` said, if it was asked.
 
     ``spread`` names fact columns that differ between rows with the same word;
     their hash picks the salt, so a task that runs again picks the same one.
     """
-    if is_bounded(table, config):
+    if is_bounded(table, config) if bounded is None else bounded:
         return facts.join(F.broadcast(table), on, how)
     salts = config.lookup_salts
     salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))

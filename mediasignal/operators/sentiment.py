@@ -75,10 +75,11 @@ def _count_in_row(df: DataFrame, text: str, polarity: list[tuple], config: Pipel
 def _count_by_join(df: DataFrame, key: str, text: str, polarity: DataFrame,
                    config: PipelineConfig) -> DataFrame:
     words = df.select(key, F.explode(_tokens(text, config)).alias("token"), F.lit(1).alias("n"))
-    if not is_bounded(polarity, config):
+    bounded = is_bounded(polarity, config)
+    if not bounded:
         words = words.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
     unique = polarity.groupBy("token").agg(F.min("kind").alias("kind"))
-    counts = (lookup_join(words, unique, "token", "inner", [key], config)
+    counts = (lookup_join(words, unique, "token", "inner", [key], config, bounded)
               .groupBy(key)
               .agg(*[F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).cast("long").alias(f"_{k}")
                      for k in KINDS]))

@@ -17,6 +17,7 @@ from mediasignal.operators.score import score
 from mediasignal.operators.sentiment import LABEL
 from mediasignal.plans.collect import collect, found_articles, replies_of_week
 from mediasignal.plans.enrich import enrich
+from mediasignal.session import staging_scope
 from mediasignal.sources.datasets import Datasets
 
 STAGES = ("collect", "enrich", "score")
@@ -68,9 +69,11 @@ def run_stages(datasets: Datasets, responses: DataFrame | None = None, pages: Da
     if "enrich" in stages:
         if base is None:
             base = of_week(datasets.read(config.raw_dataset))
-        result = with_week(enrich(base, pages, config, few=True))
-        wrote = datasets.write(config.enriched_dataset, result, on_empty="skip", partition_by=by, probe=base)
-        done = of_week(datasets.read(config.enriched_dataset)) if wrote else result
+        with staging_scope(datasets.spark):
+            result = with_week(enrich(base, pages, config, few=True))
+            wrote = datasets.write(config.enriched_dataset, result, on_empty="skip", partition_by=by, probe=base)
+        done = (of_week(datasets.read(config.enriched_dataset)) if wrote
+                else datasets.spark.createDataFrame([], result.schema))
         labelled = done.where(F.col(f"`{LABEL}`").isNotNull())
         summaries.append(stage_summary("enrich", base, labelled, label_details(labelled)))
 

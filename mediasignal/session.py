@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: list[str] = []
+_scope: ContextVar[list[str] | None] = ContextVar("staged_tables", default=None)
 
 
 # Shuffled bytes one task should get before adaptive execution merges small partitions.
@@ -61,9 +65,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the staging folder and read it back.
 
     Cuts lineage: later branches prune columns of the stored table instead of
-    computing ``df`` again, and a lost executor costs only a re-read.
+    computing ``df`` again, and a lost executor costs only a re-read. The table
+    stays unless a ``staging_scope`` is open.
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    made = _scope.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end; what was computed from them must be written by then."""
+    made: list[str] = []
+    token = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in made:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

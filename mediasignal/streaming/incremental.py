@@ -12,7 +12,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from mediasignal import schemas
 from mediasignal.config import PipelineConfig
 from mediasignal.plans.enrich import base_articles, enrich
-from mediasignal.session import staged
+from mediasignal.session import staged, staging_scope
 
 ENRICHED_BY_BATCH = StructType([*schemas.ARTICLES_ENRICHED.fields, StructField("run", StringType()),
                                 StructField("batch", LongType()), StructField("part", LongType())])
@@ -34,6 +34,10 @@ def enrich_new_files(spark: SparkSession, landing: str, pages: DataFrame, sink:
     run = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def write(rows: DataFrame, batch: int) -> None:
+        with staging_scope(spark):
+            write_batch(rows, batch)
+
+    def write_batch(rows: DataFrame, batch: int) -> None:
         fresh = staged(base_articles(rows, config).withColumn("part", part_of(F.col("URL"))), "landed")
         parts = [r.part for r in fresh.select("part").distinct().collect()]  # PARTS values at most
         known = (stored(spark, sink).where(~((F.col("run") == run) & (F.col("batch") >= batch)))

@@ -304,7 +304,7 @@ def test_entity_hook(spark):
 def test_pages_of_other_articles_are_dropped_while_scanning(spark):
     arts = spark.createDataFrame([article("https://a.example/1")], ARTICLES_RAW)
     pages = spark.createDataFrame([(f"https://a.example/{i}", 200, EN50) for i in range(9)], PAGES)
-    few, many = (enrich(arts, pages, replace(CONFIG, broadcast_rows=n)) for n in (1, 0))
+    few, many = (enrich(arts, pages, replace(CONFIG, broadcast_rows=n), few=True) for n in (1, 0))
     assert few.collect() == many.collect()
     plan = few._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in plan and plan.index("LeftSemi") > plan.index("regexp_replace")

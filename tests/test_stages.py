@@ -2,6 +2,8 @@
 
 import datetime
 import json
+import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,6 +164,23 @@ def test_staged_table_cuts_lineage(spark):
     assert "Range" not in back._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_staged_tables_go_when_their_stage_is_written(spark, store, tmp_path):
+    lexicon = spark.createDataFrame([("das", "the")], "src string, dst string")
+    config = replace(CONFIG, lexicon=lexicon, inline_entries=0)
+    root = staging_root(spark).removeprefix("file:").replace("//", "/")
+    tables = lambda: {f for f in os.listdir(root) if f.startswith(("landed-", "pages-", "texts-", "translated-"))}
+    before = tables()
+    store.write(CONFIG.raw_dataset, spark.createDataFrame([], ARTICLES_RAW))
+    assert run_stages(store, None, landed(spark), config, stages=["enrich"], every_week=True).first().rows_out == 0
+    run_stages(store, replies(spark, datetime.date(2024, 1, 10)), landed(spark), config, every_week=True)
+    assert store.read(CONFIG.enriched_dataset).count() == 4
+    store.write("landing", store.read(CONFIG.raw_dataset))
+    sink = str(tmp_path / "sink")
+    enrich_new_files(spark, store.path("landing"), landed(spark), sink, str(tmp_path / "ckpt"), config)
+    assert read_enriched(spark, sink).count() == 4
+    assert tables() == before
+
+
 def test_staging_follows_the_session(spark):
     class Conf:
         def get(self, key, default=None):
