@@ -21,7 +21,7 @@ tables; extra columns are ignored or, in ``drop_near_copies``, passed through.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -151,10 +151,10 @@ def fingerprint_links(fps: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
     return found.where("v is not null").unionByName(stars)
 
 
-def _labelled(prints: DataFrame, cell_rows: int) -> DataFrame:
+def _labelled(prints: DataFrame, links_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(fp, root, component_id) of each fingerprint in ``prints`` (doc_id, fp); root is the component's smallest fp."""
     each = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
-    roots = connected_components(fingerprint_links(each, cell_rows)).withColumnRenamed("node", "fp")
+    roots = connected_components(links_of(each)).withColumnRenamed("node", "fp")
     members = each.join(roots, "fp")
     best = members.groupBy("root").agg(F.min("first_id").alias("component_id"))
     linked = members.join(best, "root").select("fp", "root", "component_id")
@@ -167,17 +167,23 @@ def _labelled(prints: DataFrame, cell_rows: int) -> DataFrame:
 def near_copies(docs: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
     """One row per document: doc_id, fingerprint (hex), component_id (the smallest doc_id that links reach)."""
     prints = staged(docs.select("doc_id", text_fingerprint(F.col("text")).alias("fp")), "prints")
-    return prints.join(_labelled(prints, cell_rows), "fp").select(
+    return prints.join(_labelled(prints, lambda each: fingerprint_links(each, cell_rows)), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
     """The columns of ``docs`` and one row of each component, that with the smallest doc_id."""
-    fp, other, gone, group = fresh(docs, "fp", "fp_of_group", "id_that_goes", "component")
+    (fp,) = fresh(docs, "fp")
     texts = staged(docs.withColumn(fp, text_fingerprint(F.col("text"))), "printed")
+    return drop_linked(texts, fp, lambda each: fingerprint_links(each, cell_rows)).select(*docs.columns)
+
+
+def drop_linked(texts: DataFrame, fp: str, links_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """One row of each component of ``texts``, whose column ``fp`` holds the nodes that ``links_of`` gives edges of."""
+    other, gone, group = fresh(texts, "fp_of_group", "id_that_goes", "component")
     prints = texts.select("doc_id", F.col(fp).alias("fp"))
     ids = staged(prints.groupBy("fp", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-                 .join(_labelled(prints, cell_rows), "fp")
+                 .join(_labelled(prints, links_of), "fp")
                  .withColumn("stays", F.col("doc_id").eqNullSafe(F.col("component_id"))), "decided")
     goes = ids.where("not stays").select(F.col("fp").alias(other), F.col("doc_id").alias(gone))
     kept = texts.join(goes, (F.col(fp) == F.col(other)) & F.col("doc_id").eqNullSafe(F.col(gone)), "left_anti")
@@ -189,4 +195,4 @@ def drop_near_copies(docs: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
         same = F.col(fp) == F.col(other)
         one = kept.join(again, same).drop(other).dropDuplicates([group]).drop(group)
         kept = kept.join(again, same, "left_anti").unionByName(one)
-    return kept.select(*docs.columns)
+    return kept
