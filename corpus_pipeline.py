@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mediasignal.llm.exact_dedup import drop_copies
 from mediasignal.llm.mixing import Mix, take_mixed
-from mediasignal.llm.near_dedup import drop_near_texts
 from mediasignal.llm.packing import packed
 from mediasignal.llm.quality import fit, keep_good
 from mediasignal.llm.queries import table, vocabulary
+from mediasignal.llm.simhash import drop_near_copies
 from mediasignal.session import staged
 
 #: Nearly all tokens at nearly natural weights, and no document twice: what cleaning kept is not thrown away here.
@@ -29,8 +29,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that share 0.8 of their five-word shingles."""
-    return drop_near_texts(docs)
+    """One document of each group of texts whose SimHash fingerprints link (3-word shingles, 2 bits at most)."""
+    return drop_near_copies(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
