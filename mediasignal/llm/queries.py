@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mediasignal.llm.divergence import divergence
 from mediasignal.llm.exact_dedup import exact_groups
 from mediasignal.llm.license_scan import license_matches
 from mediasignal.llm.mixing import Mix, mixture
@@ -146,3 +147,30 @@ def _(spark, d):
 @query("op2_license_scan")
 def _(spark, d):
     return license_matches(table(spark, d, "documents"))
+
+
+@query("op13_source_divergence", r"""
+with d as (select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as words from documents),
+w as (select row, lang, source, unnest(words) as term from d),
+k as (select lang, term, count(*)::hugeint as ln from w group by all having count(distinct row) >= 3),
+l as (select lang, count(*)::hugeint as v, sum(ln)::hugeint as lt from k group by lang),
+c as (select lang, source, term, count(*)::hugeint as n from w semi join k using (lang, term) group by all),
+g as (select lang, source, coalesce(sum(n), 0)::hugeint as total from (select distinct lang, source from d)
+    left join c using (lang, source) group by all),
+gp as (select g.lang, g.source, k.term, coalesce(n, 0) as n, 1 + 1000000000 * (coalesce(n, 0) + 1) // (total + v) as p,
+    1 + 1000000000 * (ln + 1) // (lt + v) as lp
+    from g join k using (lang) join l using (lang) left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+pairs as (select a.lang, a.source, b.source as item from g a join g b on a.lang = b.lang and a.source <> b.source),
+sums as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p)::bigint as value
+    from gp a join gp b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pv as (select lang, source, item, coalesce(value, 0)::bigint as value from pairs left join sums using (lang, source, item)),
+tv as (select lang, source, term as item, ((p - lp) * (p - lp) // lp)::bigint as value from gp where n > 0 and p > lp)
+select lang, source, 'pair' as part, item, value,
+  row_number() over (partition by lang, source order by value desc, item)::int as rank from pv
+union all
+select * from (select lang, source, 'term' as part, item, value,
+  row_number() over (partition by lang, source order by value desc, item)::int as rank from tv) where rank <= 200""")
+def _(spark, d):
+    return divergence(table(spark, d, "documents"))
