@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from mediasignal.llm.divergence import divergence
 from mediasignal.llm.exact_dedup import exact_groups
 from mediasignal.llm.license_scan import license_matches
+from mediasignal.llm.manifest import audit
 from mediasignal.llm.mixing import Mix, mixture
 from mediasignal.llm.neighbours import Index
 from mediasignal.llm.packing import packed
@@ -174,3 +175,45 @@ select * from (select lang, source, 'term' as part, item, value,
   row_number() over (partition by lang, source order by value desc, item)::int as rank from tv) where rank <= 200""")
 def _(spark, d):
     return divergence(table(spark, d, "documents"))
+
+
+@query("op11_merkle_manifest", r"""
+with recursive f as (select doc_id, lang, coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-')
+    || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+    || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head, text, xor(4294967295, list_reduce(
+      list_prepend(4294967295::bigint, flatten(list_transform(range(1, length(doc_id::varchar) + 1),
+        lambda i: [ord(substr(doc_id::varchar, i::bigint, 1))::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda c, x: case when x >= 0 then xor(c, x) else xor(c >> 1, case when c & 1 = 1 then 3988292384 else 0 end) end)) % 3 = 0
+      as changed from documents),
+leaves as (select doc_id, lang, leaf, claimed, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as rank
+    from (select doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+      sha256(head || coalesce(strlen(text) || ':' || case when changed then
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end, '-')) as claimed from f)),
+up as (select coalesce('l' || lang, 'a') as tree, 0 as h, rank as pos, leaf as digest, '' as kids from leaves
+    union all
+    select tree, h + 1, pos // 8, sha256(string_agg(digest, '' order by pos)), string_agg(digest, '' order by pos)
+    from (select *, count(*) over (partition by tree) as n from up) where n > 1 group by tree, h, pos // 8),
+subs as (select tree, arg_max(digest, h) as digest, row_number() over (order by tree) - 1 as rank from up group by tree),
+top as (select 0 as h, rank as pos, digest, '' as kids from subs
+    union all
+    select h + 1, pos // 8, sha256(string_agg(digest, '' order by pos)), string_agg(digest, '' order by pos)
+    from (select *, count(*) over () as n from top) where n > 1 group by h, pos // 8),
+seg as (select c.tree, c.h, c.pos, substr(p.kids, 1, 64 * (c.pos % 8)) || ':' || substr(p.kids, 64 * (c.pos % 8) + 65) as s
+    from up c join up p on c.tree = p.tree and p.h = c.h + 1 and p.pos = c.pos // 8),
+top_seg as (select c.h, c.pos, substr(p.kids, 1, 64 * (c.pos % 8)) || ':' || substr(p.kids, 64 * (c.pos % 8) + 65) as s
+    from top c join top p on p.h = c.h + 1 and p.pos = c.pos // 8),
+steps as (select tree, rank, h, s from (select distinct coalesce('l' || lang, 'a') as tree, rank from leaves) l
+      join seg using (tree) where seg.pos = l.rank // (8 ** seg.h)::bigint
+    union all
+    select l.tree, l.rank, 1000 + h, s from (select distinct coalesce('l' || lang, 'a') as tree, rank from leaves) l
+      join subs on subs.tree = l.tree join top_seg on top_seg.pos = subs.rank // (8 ** top_seg.h)::bigint),
+paths as (select tree, rank, list(s order by h) as path from steps group by tree, rank),
+folds as (select doc_id, leaf, subs.digest as subroot, (select digest from top order by h desc limit 1) as root,
+    sha256(replace(coalesce(array_to_string(path, ''), ''), ':', '')) as proof_sha256,
+    list_reduce(list_prepend(claimed, coalesce(path, [])), lambda a, x: sha256(split_part(x, ':', 1) || a || split_part(x, ':', 2)))
+      as folded_root
+    from leaves l join subs on subs.tree = coalesce('l' || lang, 'a')
+    left join paths on paths.tree = subs.tree and paths.rank = l.rank)
+select *, folded_root = root as verified from folds""")
+def _(spark, d):
+    return audit(table(spark, d, "documents"))
