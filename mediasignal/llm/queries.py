@@ -15,6 +15,7 @@ from mediasignal.llm.neighbours import Index
 from mediasignal.llm.packing import packed
 from mediasignal.llm.quality import fit, quality_scores
 from mediasignal.llm.secret_scan import labelled_samples, secret_report, train
+from mediasignal.llm.sharding import shard_rows
 from mediasignal.llm.simhash import near_copies
 from mediasignal.llm.token_counts import token_counts
 from mediasignal.llm.url_filter import judge_urls
@@ -217,3 +218,8 @@ folds as (select doc_id, leaf, subs.digest as subroot, (select digest from top o
 select *, folded_root = root as verified from folds""")
 def _(spark, d):
     return audit(table(spark, d, "documents"))
+
+
+@query("op12_sharding")
+def _(spark, d):
+    return shard_rows(table(spark, d, "documents"))
