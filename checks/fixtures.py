@@ -113,6 +113,10 @@ select 'https://www.news.example/d/' || cast(doc_id as string), 200,
 union all
 select 'https://talk.example/c/' || cast(conv_id as string) || '/' || cast(turn as string), 200, '<p><b>' || text || '</b>&nbsp;</p>'
 from conversations""",
+    # Pages that name neither article nor navigation.
+    "fx_bare_pages": """
+select page_id, replace(replace(replace(replace(html, '<article>', '<div class="c">'), '</article>', '</div>'),
+  '<nav>', '<div class="m">'), '</nav>', '</div>') as html from pages""",
     # Plain texts; the benchmark items have a title and no body.
     "fx_texts": """
 select 'd' || cast(doc_id as string) as id, split_part(text, chr(10), 1) as title, text as body, lang from documents

@@ -202,6 +202,25 @@ select url, status, regexp_replace(regexp_replace(regexp_replace(h,
 select url, status < 400 as page_ok, text from (
   select *, row_number() over (partition by url order by status, md5(text)) as rn from (
     select url, status, {squeeze(unescape('h'))} as text from page_2)) where rn = 1""",
+    "bare_blocks": f"""
+select page_id, i, replace(replace(b, chr(1), ''), chr(2), '') as txt, {word_count("replace(replace(b, chr(1), ''), chr(2), '')")} as w,
+  list_sum(list_transform(regexp_extract_all(b, '\\x01([^\\x02]*)\\x02', 1), lambda x: {word_count('x')})) as linked
+from (select page_id, unnest(bs) as b, generate_subscripts(bs, 1) as i from (
+  select page_id, string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+    coalesce({container('body')}, h), '(?is){blocks('nav', 'footer', 'aside', 'form', 'button', 'select', 'iframe')}', '', 'g'),
+    '(?i)<a href=[^>]*>', chr(1), 'g'), '(?i)</a>', chr(2), 'g'), '{INLINE}', '', 'g'),
+    '</?[A-Za-z][^>]*>|<![^>]*>', chr(3), 'g'), chr(3)) as bs
+  from (select page_id, regexp_replace(html, '(?is)<!--.*?-->|{blocks('script', 'style', 'noscript', 'template', 'svg')}', '', 'g') as h
+    from fx_bare_pages)))""",
+    "bare_judged": """
+select *, l <= cast(1 as double) / 3 and case when before_l > cast(5 as double) / 9 then w > 40 or next_w > 17
+    else w > 16 or next_w > 15 or before_w > 4 end as good
+from (select *, lag(l, 1, 0) over o as before_l, lag(w, 1, 0) over o as before_w, lead(w, 1, 0) over o as next_w
+  from (select *, coalesce(linked, 0) / w as l from bare_blocks where w > 0) window o as (partition by page_id order by i))""",
+    "bare_texts": f"""
+select page_id, {squeeze(unescape("string_agg(txt, ' ' order by i)"))} as text from (
+  select *, bool_or(good) over (partition by page_id) as some_good, bool_or(l <= cast(1 as double) / 3) over (partition by page_id) as some_plain
+  from bare_judged) where case when some_good then good when some_plain then l <= cast(1 as double) / 3 else true end group by page_id""",
     "joined": """
 select b.*, coalesce(p.page_ok, false) as page_ok, case when p.page_ok then p.text else '' end as text_full
 from base b left join page_texts p on b."URL" = p.url""",

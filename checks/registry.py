@@ -554,6 +554,11 @@ def _(spark, d):
     return page_texts(fx.pages(spark, d)).select(F.col("URL").alias("url"), "page_ok", F.col("text_full").alias("text"))
 
 
+@query("nlp_extract_blocks", "select page_id, coalesce(text, '') as text from fx_bare_pages left join bare_texts using (page_id)")
+def _(spark, d):
+    return add_main_text(fx.fixture(spark, d, "fx_bare_pages"), "html", "text").select("page_id", "text")
+
+
 @query("nlp_extract_raw", "select url, status, " + o.squeeze(o.unescape("h")) + " as text from page_2 where status < 400")
 def _(spark, d):
     rows = fx.pages(spark, d).where("status < 400")

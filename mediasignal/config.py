@@ -164,6 +164,8 @@ class PipelineConfig:
     broadcast_rows: int = 200_000
     broadcast_bytes: int = 32 * 1024 * 1024
     lookup_salts: int = 32
+    # blocks of 4 KB of the filter that drops pages without an article; 0 turns it off
+    page_filter_blocks: int = 4096
 
     @property
     def country_codes(self) -> list[str]:

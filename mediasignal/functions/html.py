@@ -1,28 +1,42 @@
-"""Main article text of an HTML page, by rules on the markup."""
+"""Main article text of an HTML page.
+
+One pass finds the tags of a page and skips comments and hidden elements; a
+stack of open elements cuts out navigation, forms and the like, and the rest
+falls into blocks at every tag that is not inline. A page that names its article
+(``article`` or ``main``) is that element. Elsewhere blocks are judged by their words
+and by the share of them inside links, together with the blocks before and
+behind (Kohlschütter, Fankhauser and Nejdl, "Boilerplate detection using shallow
+text features", 2010); if no block is long enough for that, all but lists of
+links stay.
+
+The pass is sequential, so it runs in Arrow batches of pages; references and
+blanks are settled in the JVM.
+"""
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mediasignal.functions.text import squeeze
 
+HIDDEN_TAGS = frozenset(("script", "style", "noscript", "template", "svg"))
+BOILERPLATE_TAGS = frozenset(("nav", "footer", "aside", "form", "button", "select", "iframe"))
+CONTAINER_TAGS = ("article", "main", "body")
+INLINE_TAGS = frozenset((
+    "a", "abbr", "b", "cite", "code", "em", "font", "i", "kbd", "mark", "q", "s", "small", "span", "strong", "sub", "sup", "u"))
 
-def _blocks(*tags: str) -> str:
-    """Elements with all they hold; the opening ``<`` is left to the caller."""
-    return "|".join(rf"{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in tags)
-
+_TAG = re.compile(r"<!--|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<![^>]*>")
+_HIDDEN_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in HIDDEN_TAGS}
+_HREF = re.compile(r"\shref\s*=", re.I)
 
-# A literal first character lets the matcher skip plain text quickly.
-HIDDEN_TAGS = ("script", "style", "noscript", "template", "svg")
-BOILERPLATE_TAGS = ("nav", "footer", "aside", "form", "button", "select", "iframe")
-HIDDEN = "(?is)<(?:!--.*?-->|" + _blocks(*HIDDEN_TAGS) + ")"
-BOILERPLATE = "(?is)<(?:" + _blocks(*BOILERPLATE_TAGS) + ")"
-CONTAINER_TAGS = ("article", "main", "body")
-INLINE_TAG = (r"(?i)</?(?:a|abbr|b|cite|code|em|font|i|kbd|mark|q|s|small|span|strong|sub|sup|u)"
-              r"(?:\s[^>]*)?/?>")
-MARK = "\ufdd0"  # a code point that stands for no character
-ANY_TAG = r"<(?:/?[A-Za-z]|!)[^>]*>"
+#: Blocks with a larger share of words in links are no text; next to a block over ``NEAR_LINKS`` only long ones are.
+MOST_LINKS, NEAR_LINKS = 1 / 3, 5 / 9
+LONG_BLOCK, LONG_NEXT, SOME_BEFORE = 16, 15, 4
+LONG_BLOCK_NEAR_LINKS, LONG_NEXT_NEAR_LINKS = 40, 17
 
 # --- fixed values: named character references (``&amp;`` is handled last) ---
 NAMED = {
@@ -56,56 +70,132 @@ def unescape(text: Column) -> Column:
     return F.when(text.contains("&"), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(text)
 
 
-def _upto_last(text: Column, end: str) -> Column:
-    """The text up to its last match of ``end``, ``""`` without one."""
-    return F.regexp_extract(text, rf"(?is)^.*{end}", 0)
-
-
-def _mark_unclosed(df: DataFrame, out: str, opening: str, end: str, marked: str) -> DataFrame:
-    """Put ``MARK`` into openings that no ``end`` follows.
-
-    Patterns that look for the end then pass them by; else each would scan the
-    rest of the page for nothing, and a page of such openings would take time
-    by the square of its length. They are still removed as tags; in what is no
-    tag the mark is taken out again.
-    """
-    page, head = F.col(out), F.col("_head")
-    return (df.withColumn("_head", F.when(page.rlike(opening), _upto_last(page, end)))
-            .withColumn(out, F.when(head.isNull(), page).otherwise(F.concat(
-                head, F.regexp_replace(F.substring(page, F.length(head) + 1, F.length(page)), opening, marked))))
-            .drop("_head"))
-
-
-def _container(page: Column, tag: str) -> Column:
-    """What the first opening of a tag and its last end hold; null if there is none. Each opening before the last end matches."""
-    found = F.regexp_extract_all(_upto_last(page, rf"</{tag}\s*>"), F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.+)</{tag}\s*>"), F.lit(1))
-    return F.when(page.rlike(rf"(?i)<{tag}[\s>]"), F.try_element_at(found, F.lit(1)))
+Piece = tuple[str, bool, str]  # name of a tag ("" for text), whether it ends an element, text or attributes
+
+
+def _pieces(html: str) -> list[Piece]:
+    """Texts and tags in order, without comments and hidden elements; what nothing closes is an ordinary tag or text."""
+    out: list[Piece] = []
+    at, last = 0, html.rfind(">") + 1
+    unclosed: set[str] = set()
+    text_from = 0
+    while tag := _TAG.search(html, at, last):
+        at, name = tag.end(), (tag[2] or "").lower()
+        resume = at
+        if name in HIDDEN_TAGS and not tag[1] and name not in unclosed:
+            end = _HIDDEN_END[name].search(html, at)
+            if end:
+                resume = end.end()
+            else:
+                unclosed.add(name)
+        elif tag[0] == "<!--":
+            end = -1 if "<!--" in unclosed else html.find("-->", at)
+            if end < 0:
+                unclosed.add("<!--")
+                continue
+            resume = end + 3
+        if text_from < tag.start():
+            out.append(("", False, html[text_from:tag.start()]))
+        if resume == at:
+            out.append((name or "!", bool(tag[1]), tag[3] or ""))
+        at = text_from = resume
+    if text_from < len(html):
+        out.append(("", False, html[text_from:]))
+    return out
+
+
+def _inside(pieces: list[Piece], tag: str) -> list[Piece]:
+    """What lies between the first opening of an element and its last end."""
+    first = next((i for i, p in enumerate(pieces) if p[0] == tag and not p[1]), len(pieces))
+    last = next((i for i in range(len(pieces) - 1, first, -1) if pieces[i][0] == tag and pieces[i][1]), first)
+    return pieces[first + 1:last]
+
+
+def _without_boilerplate(pieces: list[Piece]) -> list[Piece]:
+    out: list[Piece] = []
+    stack: list[tuple[str, int]] = []  # open elements, and where what they hold begins in ``out``
+    open_now: dict[str, int] = {}
+    for piece in pieces:
+        name, ends, _ = piece
+        if name in BOILERPLATE_TAGS:
+            if not ends:
+                stack.append((name, len(out)))
+                open_now[name] = open_now.get(name, 0) + 1
+            elif open_now.get(name):
+                while True:
+                    other, start = stack.pop()
+                    open_now[other] -= 1
+                    if other == name:
+                        break
+                del out[start:]
+                continue
+        out.append(piece)
+    return out
+
+
+def _blocks(pieces: list[Piece]) -> list[tuple[str, int, float]]:
+    """Text, number of words and share of linked words of each block that has a word."""
+    found: list[tuple[str, int, float]] = []
+    texts: list[str] = []
+    linked, in_link = 0, False
+
+    def close() -> None:
+        nonlocal linked
+        text = "".join(texts)
+        words = len(text.split())
+        if words:
+            found.append((text, words, min(linked / words, 1.0)))
+        texts.clear()
+        linked = 0
+
+    for name, ends, value in pieces:
+        if not name:
+            texts.append(value)
+            if in_link:
+                linked += len(value.split())
+        elif name == "a":
+            in_link = not ends and bool(_HREF.search(value))
+        elif name not in INLINE_TAGS:
+            close()
+    close()
+    return found
+
+
+def _is_text(before: tuple[int, float], here: tuple[int, float], after: tuple[int, float]) -> bool:
+    words, links = here
+    if links > MOST_LINKS:
+        return False
+    if before[1] > NEAR_LINKS:
+        return words > LONG_BLOCK_NEAR_LINKS or after[0] > LONG_NEXT_NEAR_LINKS
+    return words > LONG_BLOCK or after[0] > LONG_NEXT or before[0] > SOME_BEFORE
+
+
+def raw_text(html: str) -> str:
+    """The article's text, references and runs of blanks as they are."""
+    pieces = _pieces(html)
+    for tag in CONTAINER_TAGS:
+        blocks = _blocks(_without_boilerplate(_inside(pieces, tag)))
+        if blocks:
+            if tag != "body":
+                return " ".join(b[0] for b in blocks)
+            break
+    else:
+        blocks = _blocks(_without_boilerplate(pieces))
+    sizes = [(0, 0.0), *((words, links) for _, words, links in blocks), (0, 0.0)]
+    kept = [b[0] for i, b in enumerate(blocks) if _is_text(*sizes[i:i + 3])]
+    kept = kept or [b[0] for b in blocks if b[2] <= MOST_LINKS] or [b[0] for b in blocks]
+    return " ".join(kept)
+
+
+def _raw_texts(pages: pd.Series) -> pd.Series:
+    return pages.map(raw_text)
 
 
 def add_main_text(df: DataFrame, html: str, out: str) -> DataFrame:
     """Add column ``out`` with the article text of column ``html``, ``""`` if there is none.
 
-    Steps are separate projections so that each pattern runs once per page, and
-    every pattern takes time in proportion to the page.
+    Takes time in proportion to the page, whatever is left unclosed in it.
     """
-    def mark_tags(rows: DataFrame, tags: tuple[str, ...]) -> DataFrame:
-        for tag in tags:
-            rows = _mark_unclosed(rows, out, rf"(?i)<({tag})(?=[\s>])", rf"</{tag}\s*>", f"<$1{MARK}")
-        return rows
-
-    rows = df.withColumn(out, F.coalesce(F.col(html), F.lit("")))
-    rows = mark_tags(_mark_unclosed(rows, out, "<!--", "-->", f"<!{MARK}--"), HIDDEN_TAGS)
-    rows = rows.withColumn(out, F.regexp_replace(F.col(out), HIDDEN, ""))
-    rows = rows.withColumn(out, F.coalesce(*[_container(F.col(out), t) for t in CONTAINER_TAGS], F.col(out)))
-    rows = mark_tags(rows, BOILERPLATE_TAGS)
-    rows = rows.withColumn(out, F.regexp_replace(F.col(out), BOILERPLATE, ""))
-    # Behind the last ">" no tag ends.
-    rows = rows.withColumn("_head", _upto_last(F.col(out), ">"))
-    plain = F.regexp_replace(F.regexp_replace(F.col("_head"), INLINE_TAG, ""), ANY_TAG, " ")
-    return (
-        rows.withColumn(out, F.replace(F.concat(
-            plain, F.substring(F.col(out), F.length("_head") + 1, F.length(out))), F.lit(MARK), F.lit("")))
-        .drop("_head")
-        .withColumn(out, unescape(F.col(out)))
-        .withColumn(out, squeeze(F.col(out)))
-    )
+    raw = F.pandas_udf(_raw_texts, "string")
+    rows = df.withColumn(out, raw(F.coalesce(F.col(html), F.lit(""))))
+    return rows.withColumn(out, unescape(F.col(out))).withColumn(out, squeeze(F.col(out)))

@@ -9,9 +9,12 @@ from mediasignal.functions import dates, text, themes, urls
 
 
 def reply_object(status: Column, body: Column) -> Column:
-    """The body of a reply with status 200 as a variant, null unless it is a JSON object."""
-    parsed = F.when(status == 200, F.try_parse_json(body))
-    return F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed)
+    """The body of a reply with status 200 as a variant, null unless it is a JSON object.
+
+    The parsed body is bound as the item of a list, so it is parsed once however often it is looked at.
+    """
+    parsed = F.array(F.when(status == 200, F.try_parse_json(body)))
+    return F.transform(parsed, lambda p: F.when(F.schema_of_variant(p).startswith("OBJECT"), p))[0]
 
 
 def usable_responses(responses: DataFrame) -> DataFrame:

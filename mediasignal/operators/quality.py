@@ -41,13 +41,16 @@ def drop_counts(df: DataFrame) -> DataFrame:
 
 
 def request_counts(responses: DataFrame) -> DataFrame:
-    """Requests per country and day, and one row with null keys for the whole run."""
+    """Requests per country and day, and one row with null keys for the whole run.
+
+    Bodies are judged once: the total is a second grouping set over the counts
+    per country and day. No requests give no rows.
+    """
     usable = F.count_if(reply_object(F.col("status"), F.col("body")).isNotNull())
-    per_day = responses.groupBy("code", "day").agg(
-        F.count(F.lit(1)).alias("requests"), usable.alias("usable"))
-    total = per_day.agg(F.sum("requests").alias("requests"), F.sum("usable").alias("usable")).select(
-        F.lit(None).cast("string").alias("code"), F.lit(None).cast("date").alias("day"), "requests", "usable")
-    return per_day.unionByName(total)
+    per_day = responses.groupBy("code", "day").agg(F.count(F.lit(1)).alias("requests"), usable.alias("usable"))
+    day, code = F.col("day"), F.col("code")
+    return (per_day.groupingSets([[code, day], []], code, day)
+            .agg(F.sum("requests").alias("requests"), F.sum("usable").alias("usable")))
 
 
 def request_details(responses: DataFrame) -> DataFrame:

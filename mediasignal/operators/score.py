@@ -69,16 +69,15 @@ def clean(df: DataFrame, config: PipelineConfig, order: Sequence[str | Column] |
 
 
 def rollup(rows: DataFrame, first: Sequence[str] = ("Date", "URL")) -> DataFrame:
-    """Counts, majority and mean per country and month.
+    """Counts, majority and mean per country and month, in one pass over ``rows``.
 
     Labels are counted first, so the second grouping sees one row per label;
     both groupings combine before they shuffle, and no group is ever gathered.
-    A majority tie goes to the label whose first row comes first: by date, and
-    for labels whose first dates are equal too by the other columns of
-    ``first``, which only the rows of such labels are searched for.
+    A majority tie goes to the label whose first row comes first by the columns
+    ``first``. Each label keeps that row's columns as its minimum, for which Spark
+    sorts the slim rows of a task instead of hashing them.
     """
     n, group = F.col("n"), ["Country", "month"]
-    later = [c for c in first[1:] if c in rows.columns]
 
     def label_count(label: str) -> Column:
         return F.sum(F.when(F.col("label") == label, n).otherwise(0))
@@ -86,19 +85,15 @@ def rollup(rows: DataFrame, first: Sequence[str] = ("Date", "URL")) -> DataFrame
     counted = rows.where(F.col("Country").isNotNull()).select(
         "Country", dates.month_start(F.col("Date")).alias("month"), F.col(f"`{LABEL}`").alias("label"),
         (sign(F.col(f"`{LABEL}`")) * F.col(f"`{SCORE}`").cast(EXACT)).cast(EXACT).alias("signed"),
-        F.col(first[0]).alias("at"), *[F.col(c).alias(f"_{c}") for c in later])
+        F.struct(*[c for c in first if c in rows.columns]).alias("at"))
     per_label = counted.groupBy(*group, "label").agg(
         F.count(F.lit(1)).alias("n"), F.sum("signed").alias("signed"), F.min("at").alias("at"))
-    if later:
-        per_label = per_label.join(_first_of_tied(counted, per_label, group, later), [*group, "label"], "left")
-    else:
-        per_label = per_label.withColumn("then", F.lit(None).cast("string"))
     grouped = per_label.groupBy(*group).agg(
         F.sum("n").alias("article_count"),
         label_count("bullish").alias("pos_count"),
         label_count("bearish").alias("neg_count"),
         label_count("neutral").alias("neu_count"),
-        F.coalesce(F.min_by("label", F.struct(-n, "at", "then")), F.lit("neutral")).alias("majority_sentiment"),
+        F.coalesce(F.min_by("label", F.struct(-n, "at")), F.lit("neutral")).alias("majority_sentiment"),
         F.sum("signed").alias("signed"),
     )
     mean = F.col("signed").cast("double") / F.col("article_count").cast("double")
@@ -111,15 +106,6 @@ def rollup(rows: DataFrame, first: Sequence[str] = ("Date", "URL")) -> DataFrame
     return renamed.select(*[f"`{c}`" for c in OUTPUT])
 
 
-def _first_of_tied(counted: DataFrame, per_label: DataFrame, group: list[str], later: list[str]) -> DataFrame:
-    """``then``, the least further columns at the first date, of labels with equal counts and first dates."""
-    tied = per_label.groupBy(*group, "n", "at").agg(F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    keys = [*group, "label"]
-    labels = per_label.join(tied.select(*group, "n", "at"), [*group, "n", "at"], "left_semi").select(*keys, "at")
-    return counted.join(labels, [*keys, "at"], "left_semi").groupBy(*keys).agg(
-        F.min(F.struct(*[f"_{c}" for c in later])).alias("then"))
-
-
 def score(df: DataFrame, config: PipelineConfig, order: Sequence[str | Column] | None = None,
           first: Sequence[str] = ("Date", "URL")) -> DataFrame:
     """The whole third stage, sorted by country and month."""

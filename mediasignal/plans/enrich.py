@@ -91,7 +91,7 @@ def enrich_rows(articles: DataFrame, pages: DataFrame, config: PipelineConfig) -
     config = resolve_tables(config, articles.sparkSession)
     named = merge_spellings(articles, URL=("url", "URL"), Title=("title", "Title"))
     wanted = named.select("URL", "Title").where(urls.eligible(F.col("URL")))
-    full = _signals(wanted, pages, config)
+    full = _signals(wanted, pages, config, wanted, config.page_filter_blocks)
     return full.select(
         "URL", "Translated Title", "Translated Text", "Language", f"`{LABEL}`", f"`{SCORE}`",
         F.col("Enriched Keywords").alias("Keywords"),
@@ -110,28 +110,28 @@ def enrich(articles: DataFrame, pages: DataFrame, config: PipelineConfig, few: b
 
     Same rows as ``join_enriched(base, enrich_rows(base, pages))``, in one pass:
     results never leave their base row, so the article and page tables meet in
-    a single shuffle by URL. Nothing is counted while the plan is made, unless
-    the caller says that a stored table holds ``few`` articles: if a count bears
-    that out, other pages are dropped while scanning.
+    a single shuffle by URL, and a filter of the articles' URLs drops other pages
+    while scanning. Nothing is counted while the plan is made, unless the caller
+    says that a stored table holds ``few`` articles: if a count bears that out,
+    that filter is exact.
     """
     base = base_articles(articles, config)
     if "URL" not in base.columns:
         return base
-    if few:
-        wanted = articles.select("URL").where(urls.eligible(F.col("URL")))
-        if within_bounds(*size_of(wanted), config):
-            pages = pages_of(pages, wanted)
+    wanted, blocks = articles.select("URL").where(urls.eligible(F.col("URL"))), config.page_filter_blocks
+    if few and within_bounds(*size_of(wanted), config):
+        pages, blocks = pages_of(pages, wanted), 0
     config = resolve_tables(config, articles.sparkSession)
     rows = base if "Title" in base.columns else base.withColumn("Title", F.lit(""))
-    full = _signals(rows, pages, config)
+    full = _signals(rows, pages, config, wanted, blocks)
     ok = urls.eligible(F.col("URL"))
     results = [F.when(ok, F.col(f"`{c}`")).alias(c) for c in ENRICHED_COLUMNS[:-1]]
     domain = F.when(ok, urls.domain(F.col("URL"), strip_www=True)).alias("Enriched Domain")
     return full.select(*[f"`{c}`" for c in base.columns], *results, domain)
 
 
-def _signals(rows: DataFrame, pages: DataFrame, config: PipelineConfig) -> DataFrame:
-    joined = join_pages(rows, pages)
+def _signals(rows: DataFrame, pages: DataFrame, config: PipelineConfig, wanted: DataFrame, blocks: int) -> DataFrame:
+    joined = join_pages(rows, pages, wanted, blocks)
     if has_joined_tables(config):
         joined = staged(joined, "pages")
     texts = add_texts(joined, config)

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from mediasignal.functions.html import add_main_text
 from mediasignal.operators.dedupe import keep_first
+from mediasignal.operators.membership import key_filter, may_hold
+
+#: Blocks of the filter of wanted URLs, 4 KB each: 16 MB, at which 13 million URLs let 2 % of the other pages pass.
+FILTER_BLOCKS = 4096
 
 
 def one_page_per_url(pages: DataFrame) -> DataFrame:
@@ -39,12 +43,19 @@ def pages_of(pages: DataFrame, wanted: DataFrame) -> DataFrame:
     return pages.join(F.broadcast(keys), "url", "left_semi")
 
 
-def join_pages(articles: DataFrame, pages: DataFrame) -> DataFrame:
+def join_pages(articles: DataFrame, pages: DataFrame, wanted: DataFrame | None = None,
+               filter_blocks: int = FILTER_BLOCKS) -> DataFrame:
     """Articles with their page text; without a usable page ``page_ok`` is false.
 
     A merge join: the texts grow with the data, so they are never broadcast, and
-    the joined partitions are sized by the bytes of both sides.
+    the joined partitions are sized by the bytes of both sides. A Bloom filter of
+    the URLs in ``wanted`` (by default the articles) keeps most other pages from
+    being worked on and shuffled, however many articles there are; with 0 blocks
+    there is none.
     """
+    if filter_blocks:
+        keys = key_filter(articles if wanted is None else wanted, "URL", filter_blocks)
+        pages = may_hold(pages, "url", keys, filter_blocks)
     return (articles.join(page_texts(pages).hint("merge"), "URL", "left")
             .withColumn("page_ok", F.coalesce(F.col("page_ok"), F.lit(False)))
             .withColumn("text_full", F.when(F.col("page_ok"), F.col("text_full")).otherwise("")))

@@ -19,9 +19,9 @@ def hits(responses: DataFrame) -> DataFrame:
     Failed replies, bodies that are not a JSON object and empty lists give no
     rows; a list entry that is not an object is left out, the others stay.
     """
-    reply = responses.withColumn("_r", reply_object(F.col("status"), F.col("body"))).where(F.col("_r").isNotNull())
-    listed = reply.select("ord", "day", "win", "code", F.posexplode(
-        F.try_variant_get("_r", "$.articles", "array<variant>")).alias("pos", "_a"))
+    listed = responses.select("ord", "day", "win", "code", F.posexplode_outer(F.try_variant_get(
+        reply_object(F.col("status"), F.col("body")), "$.articles", "array<variant>")).alias("pos", "_a"))
+    # An outer explode, because a plain one would parse the body again to test the list before it is taken apart.
     return listed.where(F.schema_of_variant("_a").startswith("OBJECT")).select(
         "ord", "day", "win", "code", "pos",
         *[F.try_variant_get("_a", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schemas.HIT.fields])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mediasignal import PipelineConfig, collect
 from mediasignal.operators import dedupe, grid, quality
+from mediasignal.operators.articles import article_rows, drop_empty_url, usable_responses
 from mediasignal.schemas import ARTICLES_RAW, RESPONSE
 from mediasignal.sources.responses import hits, read_responses
 
@@ -140,3 +141,12 @@ def test_an_odd_entry_costs_only_itself(spark):
     body = json.dumps({"articles": [{"url": "https://a.example/1", "title": 7}, "odd", None, 3, [{}], {"url": "https://a.example/2", "themes": {"a": 1}}]})
     assert [(r.pos, r.url, r.title) for r in hits(replies(spark, body)).orderBy("pos").collect()] == [
         (0, "https://a.example/1", "7"), (5, "https://a.example/2", None)]
+
+
+def test_bodies_are_parsed_once(spark):
+    rows = replies(spark, GOOD)
+    found = drop_empty_url(hits(rows))
+    for df in (hits(rows), usable_responses(rows), quality.request_counts(rows), article_rows(found),
+               dedupe.cap_per_group(found, ["code", "day", "win"], ["ord", "pos"], 250), collect(rows)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson") == 1, plan

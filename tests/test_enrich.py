@@ -305,9 +305,16 @@ def test_pages_of_other_articles_are_dropped_while_scanning(spark):
     arts = spark.createDataFrame([article("https://a.example/1")], ARTICLES_RAW)
     pages = spark.createDataFrame([(f"https://a.example/{i}", 200, EN50) for i in range(9)], PAGES)
     few, many = (enrich(arts, pages, replace(CONFIG, broadcast_rows=n), few=True) for n in (1, 0))
-    assert few.collect() == many.collect()
-    plan = few._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi" in plan and plan.index("LeftSemi") > plan.index("regexp_replace")
+    plain = enrich(arts, pages, replace(CONFIG, broadcast_rows=0, page_filter_blocks=0), few=True)
+    assert few.collect() == many.collect() == plain.collect()
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    # Nodes are listed from the top, so what stands later runs earlier.
+    assert plan(few).rindex("LeftSemi") > plan(few).index("ArrowEvalPython [_raw_texts")
+    assert plan(many).rindex("bitmap_construct_agg") > plan(many).index("ArrowEvalPython [_raw_texts")
+    assert "getbit" in plan(many) and "getbit" not in plan(plain)
 
 
 def test_one_url_may_hold_a_third_of_all_rows(spark):

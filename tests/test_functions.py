@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mediasignal.functions import dates, text, themes, urls
 from mediasignal.functions.html import add_main_text
+from mediasignal.operators.membership import key_filter, may_hold
 from mediasignal.operators.entities import money_amounts
 
 
@@ -154,3 +155,34 @@ def test_has_words(spark, n):
     values = BLANKS + ["one two  three", " one two\n", None, "x" * 30_000]
     got = column(spark, values, lambda c: text.has_words(c, n))
     assert got == [len((v or "").split()) >= n for v in values]
+
+
+LONG = "word " * 20
+MENU = "<ul><li><a href='/a'>one</a></li><li><a href='/b'>two words</a></li></ul>"
+
+
+@pytest.mark.parametrize("html,expected", [
+    (f"<body><div>{MENU}</div><div><h2>Title</h2><p>{LONG}</p><p>short end of it all</p></div><div>{MENU}</div></body>",
+     f"Title {LONG}short end of it all"),
+    (f"<div>{MENU}</div><p>few words here</p>", "few words here"),  # nothing long: all but the links
+    (f"<div>{MENU}</div>", "one two words"),  # nothing else
+    (f"<p>{LONG}<a href='/x'>a link inside</a> goes on</p>", f"{LONG}a link inside goes on"),
+    (f"<a href='/x'>{LONG}</a><p>{LONG}</p>", LONG.strip()),
+    (f"<a name='x'><p>{LONG}</p>", LONG.strip()),
+    (f"<article>one</article><p>{LONG}</p><article>two</article>", f"one {LONG}two"),
+    (f"<article><p></p></article><main>x</main><p>{LONG}</p>", "x"),
+    (f"<body><p>{LONG}</p><form>a<nav>b<form>c</form></nav>d</form><p>{LONG}</p></body>", f"{LONG}{LONG.strip()}"),
+    (f"<body><p>{LONG}</p></nav><aside>{LONG}</body>", f"{LONG}{LONG.strip()}"),
+])
+def test_blocks(spark, html, expected):
+    assert add_main_text(spark.createDataFrame([(html,)], "html string"), "html", "t").first().t == expected
+
+
+def test_key_filter(spark):
+    keys = spark.range(3000).selectExpr("concat('https://a.example/', id) as u").unionByName(spark.sql("select cast(null as string) as u"))
+    rows = spark.range(40_000).selectExpr("concat('https://a.example/', id) as url", "id as block")
+    kept = {r.block for r in may_hold(rows, "url", key_filter(keys, "u", 1), 1).collect()}
+    assert set(range(3000)) <= kept and len(kept) < 3000 + 0.03 * 37_000
+    full = may_hold(rows, "url", key_filter(rows, "url", 1), 1)  # far too many keys: none is lost
+    assert full.columns == ["url", "block"] and full.count() == 40_000
+    assert may_hold(rows, "url", key_filter(keys.limit(0), "u", 8), 8).count() == 0

@@ -177,8 +177,9 @@ def test_scores_beyond_six_digits(spark):
     assert row["avg_sentiment"] > 0 and row["avg_sentiment_label"] == "bullish"
 
 
-def test_labels_are_counted_by_hash(spark):
+def test_rollup_reads_its_rows_once(spark):
     from mediasignal.operators.score import clean, rollup
     plan = rollup(clean(table(spark, [("bullish", 0.9)]), CONFIG))._jdf.queryExecution().executedPlan().toString()
-    counted = [line for line in plan.splitlines() if "partial_count(1)" in line and "label" in line]
-    assert counted and all("HashAggregate" in line for line in counted)
+    # One shuffle by URL, one by label and one by country and month.
+    assert plan.count("Scan ExistingRDD") == 1 and plan.count("Exchange hashpartitioning") == 3
+    assert "partial_count(1)" in plan and "partial_min(at" in plan
