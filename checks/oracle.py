@@ -221,6 +221,30 @@ from (select *, lag(l, 1, 0) over o as before_l, lag(w, 1, 0) over o as before_w
 select page_id, {squeeze(unescape("string_agg(txt, ' ' order by i)"))} as text from (
   select *, bool_or(good) over (partition by page_id) as some_good, bool_or(l <= cast(1 as double) / 3) over (partition by page_id) as some_plain
   from bare_judged) where case when some_good then good when some_plain then l <= cast(1 as double) / 3 else true end group by page_id""",
+    # --- language model ---
+    "doc_words": r"""
+select doc_id, lang, word, count(*) as n from (
+  select doc_id, lang, unnest(regexp_extract_all(lower(text), '\p{L}+')) as word from documents) group by all""",
+    "lang_grams": """
+select lang, gram, sum(n) as n from (
+  select lang, n, unnest(list_transform(range(1, length(word) + 1), lambda i: substring(' ' || word || ' ', i::bigint, 3))) as gram
+  from doc_words where doc_id % 5 <> 0 and lang is not null) group by all""",
+    "lang_totals": "select lang, cast(sum(n) + count(*) as double) as total from lang_grams group by lang",
+    "gram_weights": """
+select lang, gram, cast(round(1000 * ln(cast(n + 1 as double) / total)) as bigint) as weight
+from (select * from lang_grams qualify row_number() over (partition by lang order by n desc, gram) <= 20000)
+  join lang_totals using (lang)""",
+    "word_scores": """
+select word, w.lang, sum(coalesce(weight, cast(round(1000 * ln(1 / total)) as bigint))) as score
+from (select word, lang, total, unnest(list_transform(range(1, length(word) + 1),
+    lambda i: substring(' ' || word || ' ', i::bigint, 3))) as gram
+  from (select distinct word from doc_words where doc_id % 5 = 0), lang_totals) w
+left join gram_weights g on g.lang = w.lang and g.gram = w.gram group by all""",
+    "learned_language": """
+select d.doc_id, coalesce(code, 'unknown') as code from (select doc_id from documents where doc_id % 5 = 0) d left join (
+  select doc_id, arg_min(lang, row(-score, lang)) as code from (
+    select w.doc_id, s.lang, sum(w.n * s.score) as score from doc_words w join word_scores s on w.word = s.word
+    where w.doc_id % 5 = 0 group by all) group by doc_id) b on d.doc_id = b.doc_id""",
     "joined": """
 select b.*, coalesce(p.page_ok, false) as page_ok, case when p.page_ok then p.text else '' end as text_full
 from base b left join page_texts p on b."URL" = p.url""",

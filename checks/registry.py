@@ -21,6 +21,7 @@ from mediasignal.operators import dedupe, grid, quality
 from mediasignal.operators import score as sc
 from mediasignal.operators.entities import add_entities
 from mediasignal.operators.language import add_language, add_language_name, language_basis
+from mediasignal.operators.ngrams import LanguageModel, gram_weights
 from mediasignal.operators.sentiment import (
     FAILED, KINDS, LABEL, SCORE, add_classifier_sentiment, add_no_content, add_sentiment, fit_text_classifier,
 )
@@ -596,6 +597,28 @@ def _(spark, d):
     return add_language(_texts(spark, d), "id", "body", "code", config).select("id", "code")
 
 
+def learned_language(spark, d):
+    """The documents that the model isn't counted from, with its judgement."""
+    docs = fx.table(spark, d, "documents")
+    model = LanguageModel.of(gram_weights(docs.where("doc_id % 5 <> 0"), "text", "lang"))
+    held_out = docs.where("doc_id % 5 = 0")
+    return add_language(held_out, "doc_id", "text", "code", replace(CONFIG, language_model=model))
+
+
+@query("nlp_language_learned", "select doc_id, code from learned_language")
+def _(spark, d):
+    return learned_language(spark, d).select("doc_id", "code")
+
+
+@query("nlp_language_accuracy", """
+select lang, count(*) as n, count(*) filter (code = lang) as right, count(*) filter (code = lang) >= 0.95 * count(*) as good
+from documents join learned_language using (doc_id) group by lang""")
+def _(spark, d):
+    right = F.count_if(F.col("code") == F.col("lang"))
+    return learned_language(spark, d).groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), right.alias("right"), (right >= F.lit(0.95) * F.count(F.lit(1))).alias("good"))
+
+
 @query("nlp_translate_title", f"select id, coalesce(nullif({o.translated('title')}, ''), title) as title from fx_texts")
 def _(spark, d):
     return add_translation(_texts(spark, d), "id", "title", "tt", CONFIG, chunked=False).select(

@@ -153,6 +153,9 @@ class PipelineConfig:
     polarity: Any = field(default_factory=lambda: POLARITY)
     gazetteer: Any = field(default_factory=lambda: GAZETTEER)
 
+    # an operators.ngrams.LanguageModel; without one the language profile decides
+    language_model: Any = None
+
     # model hooks: callables on lists of texts, see operators.translate / sentiment / entities
     translate_batch: Any = None
     sentiment_model: Any = None

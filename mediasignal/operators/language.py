@@ -1,4 +1,4 @@
-"""Language of a text from weighted function words, and language names."""
+"""Language of a text, from a trigram model or from weighted words, and language names."""
 
 from __future__ import annotations
 
@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from mediasignal.config import PipelineConfig
 from mediasignal.functions.text import default_text, words_lower
 from mediasignal.operators.lookup import entries, is_bounded, lookup_join
+from mediasignal.operators.ngrams import UNKNOWN, language_of
 from mediasignal.session import staged
 
-UNKNOWN = "unknown"
-
 
 def language_basis(body: Column, title: Column, config: PipelineConfig) -> Column:
     """The body if it is longer than ``basis_chars``, else the (untranslated) title."""
@@ -21,11 +20,14 @@ def language_basis(body: Column, title: Column, config: PipelineConfig) -> Colum
 
 
 def add_language(df: DataFrame, key: str, text: str, out: str, config: PipelineConfig) -> DataFrame:
-    """Add the code of the language with the highest word score.
+    """Add the code of the likeliest language.
 
-    Equal scores go to the smaller code; a text without profile words is
+    With a ``language_model`` that is the one of its trigrams; see ``ngrams``.
+    Else the profile's words decide: the highest sum of weights wins. Equal scores go to the smaller code; a text without profile words is
     ``unknown``. ``key`` must be unique; it is used only for large profiles.
     """
+    if config.language_model is not None:
+        return df.withColumn(out, language_of(F.col(text), config.language_model))
     profile = entries(config.language_profile, ("lang", "token", "weight"), config, df.sparkSession)
     if isinstance(profile, DataFrame):
         return _by_join(df, key, text, out, profile, config)

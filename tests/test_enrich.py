@@ -12,6 +12,7 @@ from mediasignal.functions.html import add_main_text
 from mediasignal.operators.columns import merge_spellings
 from mediasignal.operators.entities import add_entities
 from mediasignal.operators.language import add_language, add_language_name
+from mediasignal.operators.ngrams import LanguageModel, gram_weights
 from mediasignal.operators.lookup import is_bounded
 from mediasignal.operators.sentiment import LABEL, SCORE, add_sentiment
 from mediasignal.operators.translate import add_translation
@@ -396,3 +397,49 @@ def test_no_text_in_sort_keys_and_nothing_counted_while_planning(spark):
     plan = enrich(arts, spark.createDataFrame([], PAGES), CONFIG)._jdf.queryExecution().executedPlan().toString()
     sorts = [line for line in plan.splitlines() if "Sort [" in line or "Window" in line]
     assert sorts and not any(re.search(r"text#\d+ ASC", line) for line in sorts)
+
+
+# ------------------------------------------------------------------ language model
+def plain_model(rows, each):
+    import math
+    from collections import Counter
+    counts = {}
+    for text, lang in rows:
+        for word in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            counts.setdefault(lang, Counter()).update(f" {word} "[i:i + 3] for i in range(len(word)))
+    weights = {}
+    for lang, c in counts.items():
+        total = sum(c.values()) + len(c)
+        kept = sorted(c, key=lambda g: (-c[g], g))[:each]
+        weights[lang] = {"": round(1000 * math.log(1 / total)), **{g: round(1000 * math.log((c[g] + 1) / total)) for g in kept}}
+    return weights
+
+
+@pytest.mark.parametrize("each", [20_000, 5])
+def test_language_model(spark, each):
+    rows = [("The cat and THE dog, 12 été", "en"), ("Die Katze und der Hund über", "de"), ("le chat et le chien", "fr"),
+            ("", "en"), (None, "de"), ("nobody", None), ("the end", "en")]
+    weights = gram_weights(spark.createDataFrame(rows, "t string, l string"), "t", "l", each)
+    want = plain_model([r for r in rows if r[1]], each)
+    assert {(r.lang, r.gram): r.weight for r in weights.collect()} == {(x, g): w for x in want for g, w in want[x].items()}
+    model = LanguageModel.of(weights)
+    asked = ["the dog", "der Hund", "le chien et", "", None, "12 !?", "qqq", " Katze\n\tund 7 dog ", "über" * 2000, "漢字 the"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "id int, t string")
+    got = [r.x for r in add_language(df, "id", "t", "x", replace(CONFIG, language_model=model)).orderBy("id").collect()]
+
+    def judged(text):
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        sums = {x: sum(w.get(f" {v} "[i:i + 3], w[""]) for v in words for i in range(len(v))) for x, w in want.items()}
+        return min(sums, key=lambda x: (-sums[x], x)) if words else "unknown"
+
+    assert got == [judged(t) for t in asked] and got[:7] == ["en", "de", "fr", "unknown", "unknown", "unknown", got[6]]
+    none = LanguageModel.of(weights.limit(0))
+    assert {r.x for r in add_language(df, "id", "t", "x", replace(CONFIG, language_model=none)).collect()} == {"unknown"}
+
+
+def test_enrichment_with_a_language_model(spark):
+    model = LanguageModel.of(gram_weights(spark.createDataFrame([(EN50, "en"), (DE50, "de")], "t string, l string"), "t", "l"))
+    url, other = "https://a.example/1", "https://a.example/2"
+    got = run(spark, [article(url), article(other)], [(url, 200, f"<p>{EN50}</p>"), (other, 200, f"<p>{DE50}</p>")],
+              replace(CONFIG, language_model=model, language_profile={}))
+    assert (got[url]["Language"], got[other]["Language"]) == ("English", "German")
