@@ -140,6 +140,22 @@ select s.key, coalesce(f.names, '') as names from {source} s left join (
 on s.key = f.key"""
 
 
+def longest_entities(source: str, table: str, longest: int) -> str:
+    """``key, names`` of the phrases that lie in no longer one, without amounts."""
+    return f"""
+select s.key, coalesce(f.names, '') as names from {source} s left join (
+  select key, array_to_string(list_sort(list(distinct phrase)), ', ') as names from (
+    select *, max(last) over (partition by key order by i rows between unbounded preceding and 1 preceding) as reach from (
+      select g.key, g.i, max(g.i + g.n) as last, arg_max(g.phrase, g.n) as phrase from (
+        select key, i, n, array_to_string(ws[i : i + n - 1], ' ') as phrase
+        from (select key, ws, unnest(range(1, len(ws) + 1)) as i
+              from (select key, regexp_extract_all(txt, '{NAME}') as ws from {source})),
+          range(1, {longest + 1}) r(n) where i + n - 1 <= len(ws)) g
+      join (select distinct phrase from {table} where kind in ('GPE', 'ORG')) k on g.phrase = k.phrase group by g.key, g.i))
+  where reach is null or reach < last group by key) f
+on s.key = f.key"""
+
+
 def per_label(source: str) -> str:
     return f"""
 select country, date_trunc('month', dt) as month, label, count(*) as n,

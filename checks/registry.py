@@ -716,6 +716,21 @@ def _(spark, d):
     return add_entities(fx.fixture(spark, d, "fx_mentions"), "id", "body", "names", config).select("id", "names")
 
 
+LONGEST_SQL = with_texts("select key as id, names from (" + o.longest_entities("__T__", "fx_gazetteer", 4) + ")")
+LONGEST = dict(entity_longest=True, entity_kinds=("GPE", "ORG"))
+
+
+@query("nlp_entities_longest", LONGEST_SQL)
+def _(spark, d):
+    return add_entities(_texts(spark, d), "id", "body", "names", replace(CONFIG, **LONGEST)).select("id", "names")
+
+
+@query("nlp_entities_longest_salted", LONGEST_SQL)
+def _(spark, d):
+    config = table_config(spark, d, broadcast_rows=0, **LONGEST)
+    return add_entities(_texts(spark, d), "id", "body", "names", config).select("id", "names")
+
+
 @query("nlp_body_choice", 'select "URL", "Language", "Translated Title", "Translated Text", status from texts')
 def _(spark, d):
     rows = join_pages(en.base_articles(fx.articles(spark, d), CONFIG), fx.pages(spark, d))

@@ -138,6 +138,8 @@ class PipelineConfig:
     short_text_word_threshold: int = 50
     sentiment_max_tokens: int | None = None
     entity_kinds: tuple[str, ...] = ("GPE", "ORG", "MONEY")
+    # of names that lie in one another, take the longest only
+    entity_longest: bool = False
     base_columns: tuple[str, ...] = ("URL", "Date", "Title", "Country", "Domain", "Keywords")
     enriched_dataset: str = ENRICHED_DATASET
     target_language: str = "en"

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from mediasignal.config import PipelineConfig
 from mediasignal.functions.text import sorted_set
-from mediasignal.operators.lookup import entries, lookup_join
+from mediasignal.operators.lookup import entries, is_bounded, lookup_join
+from mediasignal.session import staged
 
 # A word may hold inner punctuation ("Coca-Cola", "J.P", "AT&T") but not end in it.
 NAME_WORD = r"[\p{L}\p{N}#_]+(?:[&.'-][\p{L}\p{N}#_]+)*"
@@ -38,7 +39,7 @@ def money_amounts(text: Column) -> Column:
 def add_entities(df: DataFrame, key: str, text: str, out: str, config: PipelineConfig,
                  source: DataFrame | None = None) -> DataFrame:
     """Add the sorted distinct names and amounts of the configured kinds, joined
-    by ``", "``; ``""`` if there are none.
+    by ``", "``; ``""`` if there are none. With ``entity_longest`` a name that lies in a longer one doesn't count.
 
     With a joined phrase table the words are taken from ``source``: the same keys
     and texts as ``df``, but cheaper to compute (by default ``df`` itself).
@@ -50,39 +51,92 @@ def add_entities(df: DataFrame, key: str, text: str, out: str, config: PipelineC
     money = money_amounts(F.col(text)) if "MONEY" in kinds else F.array().cast("array<string>")
     table = entries(config.gazetteer, ("phrase", "kind"), config, df.sparkSession)
     if isinstance(table, DataFrame):
-        named = _by_join(df, source or df, key, text, table.where(F.col("kind").isin(kinds)), config)
+        known = table.where(F.col("kind").isin(kinds))
+        named = _by_join(df, source or df, key, text, known, config)
     else:
-        named = _in_row(df, text, [phrase for phrase, kind in table if kind in kinds])
+        named = _in_row(df, text, [phrase for phrase, kind in table if kind in kinds], config.entity_longest)
     return named.withColumn(out, sorted_set(F.concat(F.col("_names"), money))).drop("_names")
 
 
-def _in_row(df: DataFrame, text: str, phrases: list[str]) -> DataFrame:
+def _maximal(found: Column, longest: int) -> Column:
+    """The texts of ``found`` (pos, n, run), in order of ``pos`` with one entry each, that lie in no other one.
+
+    Only the entries of the last ``longest - 1`` positions can reach over one, so as many are looked at.
+    """
+    def hidden(m: Column, k: Column) -> Column:
+        before = F.slice(found, F.greatest(k - (longest - 2), F.lit(1)), F.least(k, F.lit(longest - 1)))
+        return F.exists(before, lambda b: b["pos"] + b["n"] >= m["pos"] + m["n"])
+
+    return F.transform(F.filter(found, lambda m, k: ~hidden(m, k)), lambda m: m["run"])
+
+
+def _in_row(df: DataFrame, text: str, phrases: list[str], only_longest: bool) -> DataFrame:
     """Word runs that start like a known phrase, kept if they are one."""
-    if not phrases:
+    by_size: dict[int, list[str]] = {}
+    for p in filter(None, phrases):
+        by_size.setdefault(len(p.split(" ")), []).append(p)
+    if not by_size:
         return df.withColumn("_names", F.array().cast("array<string>"))
-    first = sorted({p.split(" ")[0] for p in phrases})
-    longest = max(len(p.split(" ")) for p in phrases)
-    words = F.col("_words")
+    first = sorted({p.split(" ")[0] for size in by_size.values() for p in size})
+    longest, words = max(by_size), F.col("_words")
+
+    def match(i: Column) -> list[Column]:
+        def run(n: int) -> Column:
+            return F.array_join(F.slice(words, i, n), " ")
+
+        return [F.when(run(n).isin(by_size[n]), F.struct(i.alias("pos"), F.lit(n).alias("n"), run(n).alias("run")))
+                for n in sorted(by_size, reverse=True)]
+
     starts = F.filter(F.transform(words, lambda w, i: F.when(w.isin(first), i + 1)), lambda i: i.isNotNull())
-    runs = F.flatten(F.transform(starts, lambda i: F.array(
-        *[F.array_join(F.slice(words, i, n), " ") for n in range(1, longest + 1)])))
-    return (df.withColumn("_words", name_words(F.col(text)))
-            .withColumn("_names", F.filter(F.array_distinct(runs), lambda p: p.isin(phrases)))
-            .drop("_words"))
+    found = (F.transform(starts, lambda i: F.coalesce(*match(i))) if only_longest
+             else F.flatten(F.transform(starts, lambda i: F.array(*match(i)))))
+    rows = (df.withColumn("_words", name_words(F.col(text)))
+            .withColumn("_names", F.filter(found, lambda m: m.isNotNull())).drop("_words"))
+    return rows.withColumn("_names", _maximal(F.col("_names"), longest) if only_longest else F.col("_names.run"))
 
 
 def _by_join(df: DataFrame, source: DataFrame, key: str, text: str, table: DataFrame, config: PipelineConfig) -> DataFrame:
-    """Distinct word runs of each text joined with a phrase table of any size."""
-    phrases = table.select("phrase").where(F.col("phrase") != "").distinct()
-    longest = phrases.agg(F.max(F.size(F.split("phrase", " ")))).first()[0] or 1
-    words = F.col("_words")
-    runs = F.flatten(F.transform(words, lambda w, i: F.array(
-        *[F.array_join(F.slice(words, i + 1, n), " ") for n in range(1, longest + 1)])))
-    grams = (source.select(key, name_words(F.col(text)).alias("_words"))
-             .select(key, F.explode(F.array_distinct(runs)).alias("phrase")))
-    found = (lookup_join(grams, phrases, "phrase", "inner", [key], config)
-             .groupBy(key).agg(F.collect_set("phrase").alias("_names")))
-    return (df.join(found, key, "left")
+    """Word runs that a phrase table of any size has, as a walk down the tree of its words.
+
+    The nodes of the tree are the beginnings of phrases. Every word is looked up
+    among the first words, and only starts that are found go on, by one word a
+    level, as long as what they have read begins a phrase. So a word that starts
+    no phrase costs one row and nothing more.
+    """
+    parts = F.split("phrase", " ")
+    begun = (table.select("phrase").where(F.col("phrase") != "").select(parts.alias("parts"))
+             .select("parts", F.explode(F.sequence(F.lit(1), F.size("parts"))).alias("n"))
+             .select("n", F.array_join(F.slice("parts", F.lit(1), F.col("n")), " ").alias("run"), (F.col("n") == F.size("parts")).alias("whole")))
+    nodes = staged(begun.groupBy("n", "run").agg(F.max("whole").alias("whole")), "phrase-tree")
+    bounded, longest = is_bounded(nodes, config), nodes.agg(F.max("n")).first()[0] or 1
+
+    def known(runs: DataFrame, n: int) -> DataFrame:
+        level = nodes.where(F.col("n") == n).select("run", "whole")
+        return staged(lookup_join(runs, level, "run", "inner", [key, "pos"], config, bounded), "runs")
+
+    words = source.select(key, name_words(F.col(text)).alias("words"))
+    if bounded:  # nothing is shuffled, so the words behind may come along
+        each = F.transform("words", lambda w, i: F.struct(
+            i.alias("pos"), w.alias("run"), F.slice("words", i + 2, F.lit(longest - 1)).alias("rest")))
+        alive = known(words.select(key, F.explode(each).alias("at")).select(key, "at.*"), 1)
+    else:
+        starts = known(words.select(key, F.posexplode("words").alias("pos", "run")), 1)
+        alive = staged(words.join(starts.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key"))).select(
+            key, "pos", "run", "whole", F.slice("words", F.col("pos") + 2, F.lit(longest - 1)).alias("rest")), "starts")
+    found = []
+    for n in range(1, longest + 1):
+        found.append(alive.where("whole").select(key, "pos", F.lit(n).alias("n"), "run"))
+        if n < longest:
+            alive = known(alive.where(F.size("rest") >= n).select(
+                key, "pos", "rest", F.concat_ws(" ", "run", F.col("rest")[n - 1]).alias("run")), n + 1)
+    matches = reduce(DataFrame.unionByName, found)
+    if config.entity_longest:
+        ends = matches.groupBy(key, "pos").agg(F.max(F.struct("n", "run")).alias("m"))
+        names = (ends.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "m.n", "m.run"))).alias("_names"))
+                 .withColumn("_names", _maximal(F.col("_names"), longest)))
+    else:
+        names = matches.groupBy(key).agg(F.collect_set("run").alias("_names"))
+    return (df.join(names, key, "left")
             .withColumn("_names", F.coalesce("_names", F.array().cast("array<string>"))))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mediasignal import PipelineConfig, enrich
 from mediasignal.functions.html import add_main_text
 from mediasignal.operators.columns import merge_spellings
+from mediasignal.operators import entities
 from mediasignal.operators.entities import add_entities
 from mediasignal.operators.language import add_language, add_language_name
 from mediasignal.operators.ngrams import LanguageModel, gram_weights
@@ -155,9 +156,12 @@ def test_one_pass_equals_joined_results(spark):
 
 def test_one_shuffle_per_table_and_no_broadcast_of_texts(spark):
     arts = spark.createDataFrame([article("https://a.example/1")], ARTICLES_RAW)
-    plan = enrich(arts, spark.createDataFrame([], PAGES), replace(CONFIG, broadcast_rows=0))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(URL") == 2
-    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "Python" not in plan
+    plan = lambda **over: enrich(arts, spark.createDataFrame([], PAGES), replace(
+        CONFIG, broadcast_rows=0, **over))._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan(page_filter_blocks=0)
+    with_filter = plan()  # the filter of URLs has a fixed size; Python sees pages only
+    assert with_filter.count("BroadcastExchange") == 1 and with_filter.count("EvalPython") == 1
+    assert with_filter.count("Exchange hashpartitioning(URL") == 2 and "SortMergeJoin" in with_filter
 
 
 def test_spellings(spark):
@@ -231,8 +235,9 @@ def test_size_check(spark):
     assert not is_bounded(table, replace(CONFIG, broadcast_bytes=100))
 
 
-def test_only_bounded_tables_are_broadcast(spark):
+def test_only_bounded_tables_are_broadcast(spark, monkeypatch):
     df = texts(spark)
+    monkeypatch.setattr(entities, "staged", lambda rows, name: rows)  # one plan for all levels of the walk
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         _, _, small, large = forms(spark)
@@ -443,3 +448,25 @@ def test_enrichment_with_a_language_model(spark):
     got = run(spark, [article(url), article(other)], [(url, 200, f"<p>{EN50}</p>"), (other, 200, f"<p>{DE50}</p>")],
               replace(CONFIG, language_model=model, language_profile={}))
     assert (got[url]["Language"], got[other]["Language"]) == ("English", "German")
+
+
+# ------------------------------------------------------------------ phrase tree
+def plain_names(text, phrases, only_longest):
+    words = re.findall(r"[^\W]+", text or "")
+    found = [(i, n) for n in range(1, 6) for i in range(len(words) - n + 1) if " ".join(words[i:i + n]) in phrases]
+    if only_longest:
+        found = [(i, n) for i, n in found if not any((j, m) != (i, n) and j <= i and j + m >= i + n for j, m in found)]
+    return ", ".join(sorted({" ".join(words[i:i + n]) for i, n in found}))
+
+
+@pytest.mark.parametrize("only_longest", [False, True])
+def test_phrases_against_all_runs(spark, only_longest):
+    phrases = ["a", "a b", "b c", "a b c d", "c d e f g", "d", "e f", "x y z", "g"]
+    texts = ["a b c d e f g", "a a b b c", "x y a x y z", "c d e f", "q", "", None, "d e f g a b c", " ".join("abcdefgxyz" * 60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    config = replace(CONFIG, gazetteer=dict.fromkeys(phrases, "ORG"), entity_kinds=("ORG",), entity_longest=only_longest)
+    want = [plain_names(t, phrases, only_longest) for t in texts]
+    table = spark.createDataFrame([(p, "ORG") for p in phrases] + [("", "ORG"), ("q", "PERSON"), (None, "ORG")], "phrase string, kind string")
+    for form in ({}, dict(gazetteer=table, inline_entries=0), dict(gazetteer=table, inline_entries=0, broadcast_rows=0, lookup_salts=3)):
+        got = add_entities(df, "id", "t", "x", replace(config, **form)).orderBy("id").collect()
+        assert [r.x for r in got] == want
