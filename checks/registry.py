@@ -23,7 +23,7 @@ from mediasignal.operators.entities import add_entities
 from mediasignal.operators.language import add_language, add_language_name, language_basis
 from mediasignal.operators.ngrams import LanguageModel, gram_weights
 from mediasignal.operators.sentiment import (
-    FAILED, KINDS, LABEL, SCORE, add_classifier_sentiment, add_no_content, add_sentiment, fit_text_classifier,
+    FAILED, KINDS, LABEL, SCORE, add_classifier_sentiment, add_no_content, add_sentiment, fit_text_classifier, log_loss,
 )
 from mediasignal.operators.translate import add_translation
 from mediasignal.plans import enrich as en
@@ -658,16 +658,37 @@ def _(spark, d):
     return add_sentiment(_texts(spark, d), "id", "body", config).select("id", f"`{LABEL}`", f"`{SCORE}`")
 
 
-@query("nlp_sentiment_ml", "select doc_id, true as known_label, true as score_in_bounds from documents")
-def _(spark, d):
+def labelled_texts(spark, d):
+    """Texts with a kind made of their two labels; those of every fifth document are for judging only."""
     labels = spark.read.parquet(f"{d}/labels.parquet")
     kind = F.when(F.col("toxic") == 1, "bearish").when(F.col("quality") == 1, "bullish").otherwise("neutral")
-    docs = fx.table(spark, d, "documents").select("doc_id", "text")
-    known = docs.join(labels, "doc_id").select("text", kind.alias("kind"))
-    found = add_classifier_sentiment(docs, "text", fit_text_classifier(known, "text", "kind"))
-    return found.select(
-        "doc_id", F.col(f"`{LABEL}`").isin(*KINDS, FAILED).alias("known_label"),
-        F.coalesce(F.col(f"`{SCORE}`").between(0, 1), F.col(f"`{LABEL}`") == FAILED).alias("score_in_bounds"))
+    return fx.table(spark, d, "documents").join(labels, "doc_id").select("doc_id", "text", kind.alias("kind"))
+
+
+def learned_sentiment(spark, d):
+    return fit_text_classifier(labelled_texts(spark, d).where("doc_id % 5 <> 0"), "text", "kind")
+
+
+@query("nlp_sentiment_ml", f"""
+select doc_id, not regexp_matches(text, '{o.NON_BLANK}') as failed, true as known_label, true as score_of_two_places from documents""")
+def _(spark, d):
+    found = add_classifier_sentiment(fx.table(spark, d, "documents").select("doc_id", "text"), "text", learned_sentiment(spark, d))
+    label, score = F.col(f"`{LABEL}`"), F.col(f"`{SCORE}`")
+    failed = label == FAILED
+    two_places = score.between(0, 1) & (score == F.round(score * 100) / 100)
+    return found.select("doc_id", failed.alias("failed"), F.when(failed, True).otherwise(label.isin(*KINDS)).alias("known_label"),
+                        F.when(failed, score.isNull()).otherwise(F.coalesce(two_places, F.lit(False))).alias("score_of_two_places"))
+
+
+@query("nlp_sentiment_ml_scores")
+def _(spark, d):
+    return add_classifier_sentiment(fx.table(spark, d, "documents").select("doc_id", "text"), "text", learned_sentiment(spark, d))
+
+
+@query("nlp_sentiment_ml_loss")
+def _(spark, d):
+    held_out = labelled_texts(spark, d).where("doc_id % 5 = 0")
+    return log_loss(held_out, "text", "kind", learned_sentiment(spark, d))
 
 
 @query("nlp_no_content", f"""

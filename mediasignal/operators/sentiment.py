@@ -6,6 +6,8 @@ The default counts polarity words; ``sentiment_model`` plugs in a model.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from mediasignal.config import PipelineConfig
 from mediasignal.functions.text import is_blank, norm_label, words_lower
 from mediasignal.operators.lookup import entries, is_bounded, lookup_join
+from mediasignal.session import staged
 
 LABEL = "Model Sentiment Label"
 SCORE = "Model Sentiment Score"
@@ -138,32 +141,93 @@ def add_no_content(df: DataFrame, status: str = "_status") -> DataFrame:
             .withColumn(SCORE, F.when(~gone, F.col(f"`{SCORE}`"))))
 
 
-def fit_text_classifier(training: DataFrame, text: str, label: str):
-    """An MLlib text classifier whose probability serves as confidence."""
-    from pyspark.ml import Pipeline
+@dataclass(frozen=True)
+class TextClassifier:
+    """A fitted classifier and, per label, the curve from its probability to the share of texts that had the label."""
+
+    model: Any
+    names: tuple[str, ...]
+    curves: tuple[Any, ...]
+
+
+# Probabilities are counted in so many steps when a curve is fitted, which bounds it whatever the number of texts.
+_STEPS = 1000
+
+
+def kept_out(text: Column) -> Column:
+    """A fifth of the texts, by hash: never fitted by the classifier, but by the curves. Equal texts stay together."""
+    return F.pmod(F.xxhash64(text), F.lit(5)) == 0
+
+
+def fit_text_classifier(training: DataFrame, text: str, label: str) -> TextClassifier:
+    """An MLlib classifier of hashed words, calibrated on texts that it was not fitted on.
+
+    For each label an isotonic regression turns the classifier's probability into
+    the share of kept-out texts of such a probability that have the label.
+    """
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import HashingTF, StringIndexer
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.regression import IsotonicRegression
 
     words = training.withColumn("_words", words_lower(F.col(text)))
-    return Pipeline(stages=[
+    fitted = Pipeline(stages=[
         StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc"),
         HashingTF(inputCol="_words", outputCol="_features", numFeatures=1 << 14),
         LogisticRegression(featuresCol="_features", labelCol="_label", probabilityCol="_probability",
                            predictionCol="_prediction", rawPredictionCol="_raw", maxIter=20, regParam=0.01),
-    ]).fit(words)
+    ]).fit(words.where(~kept_out(F.col(text))))
+    names, scorer = tuple(fitted.stages[0].labels), PipelineModel(fitted.stages[1:])
+    # Rows per step of probability and label: at most (_STEPS + 1) * len(names) of them.
+    judged = scorer.transform(words.where(kept_out(F.col(text)))).select(
+        F.col(label).alias("label"), F.posexplode(vector_to_array("_probability")).alias("at", "p"))
+    steps = staged(judged.groupBy("at", (F.round(F.col("p") * _STEPS) / _STEPS).alias("p")).agg(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        F.avg((F.col("label") == F.element_at(F.array(*map(F.lit, names)), F.col("at") + 1)).cast("double")).alias("share")), "steps")
+    curve = IsotonicRegression(featuresCol="p", labelCol="share", weightCol="n")
+    found = {r.at for r in steps.select("at").distinct().collect()}
+    return TextClassifier(scorer, names, tuple(
+        curve.fit(steps.where(F.col("at") == i)) if i in found else None for i in range(len(names))))
+
+
+def class_probabilities(df: DataFrame, text: str, classifier: TextClassifier, out: str) -> DataFrame:
+    """Column ``out``: calibrated probabilities in the order of ``classifier.names``, with a sum of 1."""
+    from pyspark.ml.functions import vector_to_array
 
+    rows = classifier.model.transform(df.withColumn("_words", words_lower(F.col(text))))
+    rows = rows.withColumn("_raws", vector_to_array("_probability"))
+    for i, curve in enumerate(classifier.curves):
+        rows = rows.withColumn(f"_p{i}", F.col("_raws")[i])
+        if curve is not None:
+            rows = (curve.copy({curve.featuresCol: f"_p{i}", curve.predictionCol: f"_c{i}"}).transform(rows)
+                    .withColumn(f"_p{i}", F.col(f"_c{i}")).drop(f"_c{i}"))
+    each = [F.col(f"_p{i}") for i in range(len(classifier.names))]
+    total = sum(each, F.lit(0.0))
+    # Where no kept-out text of such probabilities had any label, the classifier's own stand.
+    rows = rows.withColumn(out, F.when(total > 0, F.array(*[p / total for p in each])).otherwise(F.col("_raws")))
+    return rows.drop("_words", "_features", "_raw", "_probability", "_prediction", "_raws", *[f"_p{i}" for i in range(len(each))])
 
-def add_classifier_sentiment(df: DataFrame, text: str, model) -> DataFrame:
-    """Label and score from :func:`fit_text_classifier`; blank texts fail as usual."""
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.functions import vector_to_array
 
-    names = F.array(*[F.lit(x) for x in model.stages[0].labels])
-    scorer = PipelineModel(model.stages[1:])
-    out = scorer.transform(df.withColumn("_words", words_lower(F.col(text))))
+def round_two(score: Column) -> Column:
+    """Two places as Python rounds them: by the exact value, so 0.695 gives 0.69."""
+    def rounded(scores: pd.Series) -> pd.Series:
+        return scores.map(lambda s: round(s, 2), na_action="ignore")
+
+    return F.pandas_udf(rounded, "double")(score)
+
+
+def add_classifier_sentiment(df: DataFrame, text: str, classifier: TextClassifier) -> DataFrame:
+    """Label and score from :func:`fit_text_classifier`; blank texts fail as usual. Equal probabilities go to the first label."""
+    rows = class_probabilities(df, text, classifier, "_each")
     blank = is_blank(F.col(text))
-    label = F.element_at(names, F.col("_prediction").cast("int") + 1)
-    score = F.round(F.array_max(vector_to_array("_probability")), 2)
-    return (out.withColumn(LABEL, F.when(blank, FAILED).otherwise(label))
-            .withColumn(SCORE, F.when(~blank, score))
-            .drop("_words", "_features", "_raw", "_probability", "_prediction"))
+    label = F.element_at(F.array(*map(F.lit, classifier.names)), F.array_position("_each", F.array_max("_each")).cast("int"))
+    return (rows.withColumn(LABEL, F.when(blank, FAILED).otherwise(label))
+            .withColumn(SCORE, round_two(F.when(~blank, F.array_max("_each")))).drop("_each"))
+
+
+def log_loss(df: DataFrame, text: str, label: str, classifier: TextClassifier) -> DataFrame:
+    """(n, log_loss) of labelled texts; a probability counts as 0.001 at least."""
+    rows = class_probabilities(df, text, classifier, "_each")
+    of_label = F.try_element_at("_each", F.array_position(F.array(*map(F.lit, classifier.names)), F.col(label)).cast("int"))
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.avg(-F.ln(F.greatest(of_label, F.lit(0.001)))).alias("log_loss"))

@@ -470,3 +470,42 @@ def test_phrases_against_all_runs(spark, only_longest):
     for form in ({}, dict(gazetteer=table, inline_entries=0), dict(gazetteer=table, inline_entries=0, broadcast_rows=0, lookup_salts=3)):
         got = add_entities(df, "id", "t", "x", replace(config, **form)).orderBy("id").collect()
         assert [r.x for r in got] == want
+
+
+# ------------------------------------------------------------------ learned sentiment
+def test_calibrated_classifier(spark):
+    import math
+    import random
+
+    from mediasignal.operators import sentiment as sn
+
+    rng = random.Random(3)
+    words = {"up": ["gain", "rise"], "down": ["loss", "fall"], "flat": ["same", "still"]}
+    rows = []
+    for i in range(900):
+        kind = rng.choice(list(words))
+        said = kind if rng.random() < 0.8 else rng.choice(list(words))  # a fifth of the texts say something else
+        rows.append((i, " ".join([f"t{i}", *rng.choices(words[said], k=4)]), kind))
+    df = spark.createDataFrame(rows, "id int, t string, kind string")
+    model = sn.fit_text_classifier(df.where("id < 700"), "t", "kind")
+    judged = sn.class_probabilities(df.where("id >= 700"), "t", model, "p").orderBy("id").collect()
+    assert model.names == ("down", "flat", "up") and all(abs(sum(r.p) - 1) < 1e-9 and min(r.p) >= 0 for r in judged)
+    loss = sum(-math.log(max(r.p[model.names.index(r.kind)], 0.001)) for r in judged) / 200
+    (got,) = sn.log_loss(df.where("id >= 700"), "t", "kind", model).collect()
+    assert got.n == 200 and abs(got.log_loss - loss) < 1e-9 and loss < 0.75  # ln 3 = 1.10 is chance
+    # Calibrated: of the texts that get a label with probability p, a share of about p has it.
+    sure = [(max(r.p), r.kind == model.names[r.p.index(max(r.p))]) for r in judged]
+    assert abs(sum(p for p, _ in sure) - sum(hit for _, hit in sure)) / 200 < 0.07
+    odd = spark.createDataFrame([(1, "gain gain"), (2, " \t"), (3, None), (4, "unseen words")], "id int, t string")
+    found = {r.id: r for r in sn.add_classifier_sentiment(odd, "t", model).collect()}
+    assert found[1][sn.LABEL] == "up" and (found[2][sn.LABEL], found[2][sn.SCORE], found[3][sn.LABEL]) == (sn.FAILED, None, sn.FAILED)
+    assert all(r[sn.SCORE] == round(r[sn.SCORE], 2) for i, r in found.items() if i in (1, 4)) and set(found[1].asDict()) == {"id", "t", sn.LABEL, sn.SCORE}
+
+
+def test_scores_round_as_python_does(spark):
+    from mediasignal.operators.sentiment import round_two
+
+    values = [0.695, 0.125, 0.675, 0.7051, 1.0, 0.0, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    assert [r.x for r in df.select("i", round_two(F.col("v")).alias("x")).orderBy("i").collect()] == [
+        None if v is None else round(v, 2) for v in values]
