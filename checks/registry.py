@@ -31,7 +31,7 @@ from mediasignal.plans.collect import collect
 from mediasignal.plans.runner import run_stages
 from mediasignal.session import staging_root
 from mediasignal.sources.datasets import Datasets
-from mediasignal.sources.pages import join_pages, page_texts
+from mediasignal.sources.pages import join_pages, join_texts, page_texts
 from mediasignal.sources.responses import hits
 from mediasignal.streaming.incremental import enrich_new_files, read_enriched
 
@@ -310,6 +310,24 @@ def _(spark, d):
     return en.join_enriched(base, en.enrich_rows(base, fx.pages(spark, d), CONFIG))
 
 
+def stored_by_url(spark, name, df):
+    """The frame as a bucketed table, under a name of its own."""
+    return Datasets(spark, staging_root(spark)).write_bucketed(f"{name}_{uuid.uuid4().hex}", df, "URL", 16)
+
+
+@query("join_enriched_bucketed", "select * from enriched")
+def _(spark, d):
+    base = stored_by_url(spark, "base", en.base_articles(fx.articles(spark, d), CONFIG))
+    results = stored_by_url(spark, "results", en.enrich_rows(base, fx.pages(spark, d), CONFIG))
+    return en.join_enriched(base, results)
+
+
+@query("join_pages_bucketed", 'select "URL", page_ok, text_full from joined')
+def _(spark, d):
+    base = stored_by_url(spark, "base", en.base_articles(fx.articles(spark, d), CONFIG))
+    return join_texts(base, stored_by_url(spark, "texts", page_texts(fx.pages(spark, d)))).select("URL", "page_ok", "text_full")
+
+
 @query("join_pages", """
 select "URL", page_ok, text_full from joined""")
 def _(spark, d):

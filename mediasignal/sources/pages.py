@@ -56,6 +56,11 @@ def join_pages(articles: DataFrame, pages: DataFrame, wanted: DataFrame | None =
     if filter_blocks:
         keys = key_filter(articles if wanted is None else wanted, "URL", filter_blocks)
         pages = may_hold(pages, "url", keys, filter_blocks)
-    return (articles.join(page_texts(pages).hint("merge"), "URL", "left")
+    return join_texts(articles, page_texts(pages))
+
+
+def join_texts(articles: DataFrame, texts: DataFrame) -> DataFrame:
+    """Articles with their row of ``texts``, which ``page_texts`` made; it may be stored by URL, in the buckets of the articles."""
+    return (articles.join(texts.hint("merge"), "URL", "left")
             .withColumn("page_ok", F.coalesce(F.col("page_ok"), F.lit(False)))
             .withColumn("text_full", F.when(F.col("page_ok"), F.col("text_full")).otherwise("")))

@@ -200,3 +200,32 @@ def test_staging_follows_the_session(spark):
 
     with pytest.raises(RuntimeError):
         staging_root(Bare())
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path):
+    from mediasignal.plans.enrich import base_articles, enrich_rows, join_enriched
+    from mediasignal.sources.pages import join_pages, join_texts, page_texts
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    store = Datasets(spark, str(tmp_path / "tables"))
+    rows = [(f"2025-08-0{1 + i % 7}T00:00:00.000Z", f"t{i}", f"https://a.example/{i % 30}", "a.example", "KE", "k") for i in range(60)]
+    arts = spark.createDataFrame(rows, "Date string, Title string, URL string, Domain string, Country string, Keywords string")
+    pages = spark.createDataFrame([(f"https://a.example/{i % 20}", 200 + 300 * (i % 3 == 0), f"<p>page {i}</p>") for i in range(40)],
+                                  "url string, status int, html string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = base_articles(store.write_bucketed("bucketed_articles", arts, "URL", 4), CONFIG)
+        joined = join_texts(base, store.write_bucketed("bucketed_texts", page_texts(pages), "URL", 4))
+        assert "Exchange" not in plan(joined) and "SortMergeJoin" in plan(joined)
+        assert sorted(map(str, joined.collect())) == sorted(map(str, join_pages(base_articles(arts, CONFIG), pages).collect()))
+        results = store.write_bucketed("bucketed_results", enrich_rows(base, pages, CONFIG), "URL", 4)
+        both = join_enriched(base, results)
+        assert "Exchange" not in plan(both) and both.count() == 30
+        for name in ("bucketed_articles", "bucketed_texts", "bucketed_results"):
+            assert len(list((tmp_path / "tables" / name).glob("part-*"))) <= 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("bucketed_articles", "bucketed_texts", "bucketed_results"):
+            spark.sql(f"drop table if exists {name}")
