@@ -4,13 +4,13 @@ Two first-order Markov models over the characters of ``ALPHABET``, one of
 random strings and one of ordinary identifiers, are counted from labelled
 samples. A token of at least ``LEAST_CHARS`` characters that no fixed pattern
 covers is a secret if its log-likelihood ratio, random over ordinary, reaches
-``LEAST_RATIO``. Everything runs as column expressions in the row that holds the
-text; positions come from the lengths of matches and of the gaps between them.
+``LEAST_RATIO`` for each ``LEAST_CHARS`` characters. Everything runs as column
+expressions in the row that holds the text; positions come from the lengths of
+matches and of the gaps between them.
 
-The ordinary sample is the tokens of at most ``SAMPLE_ROWS`` documents, the
-first by a hash of their id, without what the fixed patterns find; the random
-sample is ``SAMPLE_STRINGS`` digests written in base 64. Both bounds are
-parameters; scans cover all rows and whole texts.
+The ordinary sample is the tokens of all documents without what the fixed
+patterns find; the random sample has ``SAMPLE_STRINGS`` strings of each of the
+character sets in which keys are written.
 
 Defined cases: a null text is empty and has no spans. Without ordinary tokens
 the models are equal and add nothing. Rows that repeat, ids that are null and
@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mediasignal.llm.common import whole_text
@@ -35,9 +35,16 @@ KINDS = ["assign", "access", "hex", "random"]
 LEAST_VALUE, LEAST_ACCESS = 12, 18
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-LEAST_CHARS, LEAST_RATIO = 20, 14.0
+#: A token of ``LEAST_CHARS`` characters needs this ratio, a longer one more in proportion.
+LEAST_CHARS, LEAST_RATIO = 16, 11.2
 TOKEN = rf"[A-Za-z0-9+/_=-]{{{LEAST_CHARS},}}"
-SAMPLE_ROWS, SAMPLE_STRINGS = 1000, 2000
+#: Character sets in which keys are written; the random sample has ``SAMPLE_STRINGS`` strings of each.
+KEY_SETS = {
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "base62": ALPHABET[:62],
+    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+    "lower": "abcdefghijklmnopqrstuvwxyz0123456789", "hex": "0123456789abcdef", "upper hex": "0123456789ABCDEF",
+}
+SAMPLE_STRINGS, _SAMPLE_CHARS = 1000, 40
 _BLOCK = 256
 
 
@@ -92,19 +99,25 @@ def base_spans(text: Column) -> Column:
         pattern_spans(text, HEX, 2)))
 
 
-def labelled_samples(docs: DataFrame, rows: int = SAMPLE_ROWS, strings: int = SAMPLE_STRINGS) -> DataFrame:
-    """(token, random): digests in base 64, and ordinary tokens of at most ``rows`` documents."""
-    spark = docs.sparkSession
-    digest = F.unhex(F.sha2(F.col("id").cast("string").cast("binary"), 256))
-    random = spark.range(strings).select(
-        F.regexp_replace(F.base64(digest), "=", "").alias("token"), F.lit(True).alias("random"))
-    ids = docs.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+def random_strings(spark: SparkSession, strings: int = SAMPLE_STRINGS, chars: int = _SAMPLE_CHARS) -> DataFrame:
+    """(name, token): strings of each of ``KEY_SETS``, whose characters are picked by a hash of set, string and place."""
+    sets = F.explode(F.create_map(*(F.lit(x) for item in KEY_SETS.items() for x in item))).alias("name", "chars")
+    place = F.expr(f"transform(sequence(1, {int(chars)}), i -> substring(chars, cast(pmod(xxhash64(name, id, i), length(chars)) as int) + 1, 1))")
+    return spark.range(strings).select("id", sets).select("name", F.array_join(place, "").alias("token"))
+
+
+def labelled_samples(docs: DataFrame, strings: int = SAMPLE_STRINGS) -> DataFrame:
+    """(token, random, n): random strings, and the ordinary tokens of all documents with their number.
+
+    Ordinary is what the fixed patterns leave. Equal tokens are counted before
+    they are shuffled.
+    """
+    random = random_strings(docs.sparkSession, strings).select("token", F.lit(True).alias("random"), F.lit(1).cast("long").alias("n"))
     text = whole_text(F.col("text"))
     for pattern in (ASSIGN, ACCESS, HEX):
         text = F.regexp_replace(text, pattern, " ")
-    tokens = docs.join(F.broadcast(ids), "doc_id", "left_semi").select(
-        F.explode(F.regexp_extract_all(text, F.lit("[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("token"))
-    return random.unionByName(tokens.withColumn("random", F.lit(False)))
+    tokens = docs.select(F.explode(F.regexp_extract_all(text, F.lit("[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("token"))
+    return random.unionByName(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).withColumn("random", F.lit(False)))
 
 
 def train(samples: DataFrame) -> list[float]:
@@ -113,10 +126,10 @@ def train(samples: DataFrame) -> list[float]:
     Counts start at one. The table has as many numbers as there are pairs of characters, whatever the sample.
     """
     chars = F.split("token", "")
-    pairs = samples.select("random", F.explode(F.zip_with(
+    pairs = samples.select("random", "n", F.explode(F.zip_with(
         F.slice(chars, F.lit(1), F.greatest(F.size(chars) - 1, F.lit(0))),
         F.slice(chars, F.lit(2), F.greatest(F.size(chars) - 1, F.lit(0))),
-        lambda a, b: F.concat(a, b))).alias("pair")).groupBy("random", "pair").count().collect()
+        lambda a, b: F.concat(a, b))).alias("pair")).groupBy("random", "pair").agg(F.sum("n")).collect()
     n, place = len(ALPHABET), {c: i for i, c in enumerate(ALPHABET)}
     counts = {True: [[1.0] * n for _ in range(n)], False: [[1.0] * n for _ in range(n)]}
     for random, pair, count in pairs:
@@ -142,10 +155,14 @@ def likelihood_ratio(token: Column, ratios: list[float]) -> Column:
     return F.aggregate(F.split(token, ""), start, step, lambda s: s["sum"])
 
 
+def looks_random(token: Column, ratios: list[float]) -> Column:
+    return likelihood_ratio(token, ratios) * LEAST_CHARS >= F.length(token) * LEAST_RATIO
+
+
 def random_spans(text: Column, base: Column, ratios: list[float]) -> Column:
     """Spans of tokens that look random and meet no base span."""
     judged = lambda found: F.transform(found, lambda m: (
-        ~m.rlike(f"AKIA[A-Z0-9]{{14,}}|{HEX}") & (likelihood_ratio(m, ratios) >= LEAST_RATIO)))
+        ~m.rlike(f"AKIA[A-Z0-9]{{14,}}|{HEX}") & looks_random(m, ratios)))
     spans = pattern_spans(text, TOKEN, 3, judged)
     return F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
 
