@@ -123,7 +123,8 @@ def labelled_samples(docs: DataFrame, strings: int = SAMPLE_STRINGS) -> DataFram
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratios, random over ordinary, of each character after each, in the order of ``ALPHABET``.
 
-    Counts start at one. The table has as many numbers as there are pairs of characters, whatever the sample.
+    What follows a rare character is taken to follow it as often as any other. The
+    table has as many numbers as there are pairs of characters, whatever the sample.
     """
     chars = F.split("token", "")
     pairs = samples.select("random", "n", F.explode(F.zip_with(
@@ -131,16 +132,23 @@ def train(samples: DataFrame) -> list[float]:
         F.slice(chars, F.lit(2), F.greatest(F.size(chars) - 1, F.lit(0))),
         lambda a, b: F.concat(a, b))).alias("pair")).groupBy("random", "pair").agg(F.sum("n")).collect()
     n, place = len(ALPHABET), {c: i for i, c in enumerate(ALPHABET)}
-    counts = {True: [[1.0] * n for _ in range(n)], False: [[1.0] * n for _ in range(n)]}
+    counts = {True: [[0] * n for _ in range(n)], False: [[0] * n for _ in range(n)]}
     for random, pair, count in pairs:
         if len(pair) == 2 and pair[0] in place and pair[1] in place:
             counts[random][place[pair[0]]][place[pair[1]]] += count
-    if all(x == 1.0 for row in counts[False] for x in row):
+    if not any(map(sum, counts[False])):
         return [0.0] * (n * n)
-    log = {k: [[math.log(x / sum(row)) for x in row] for row in rows] for k, rows in counts.items()}
+    log = {k: _log_shares(rows) for k, rows in counts.items()}
     return [log[True][a][b] - log[False][a][b] for a in range(n) for b in range(n)]
 
 
+def _log_shares(counts: list[list[int]]) -> list[list[float]]:
+    """Logs of each row's shares, to which the shares of the columns were added with the weight of one count a column."""
+    n, total = len(counts), sum(map(sum, counts))
+    column = [(sum(row[b] for row in counts) + 1) / (total + n) for b in range(n)]
+    return [[math.log((x + n * column[b]) / (sum(row) + n)) for b, x in enumerate(row)] for row in counts]
+
+
 def likelihood_ratio(token: Column, ratios: list[float]) -> Column:
     """Sum of a token's log-likelihood ratios, in one pass over its characters."""
     n = len(ALPHABET)
