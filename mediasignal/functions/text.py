@@ -67,12 +67,9 @@ def cap(text: Column, chars: int) -> Column:
 
 
 def chunks(text: Column, size: int) -> Column:
-    """Pieces of ``size`` characters in text order; an empty text has none."""
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.floor((F.length(text) - 1) / size).cast("int")),
-        lambda i: F.substring(text, i * size + 1, F.lit(size)),
-    )
-    return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).otherwise(pieces)
+    """Pieces of ``size`` characters in text order; an empty text has none. One pass over the text, however long it is."""
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{int(size)}}}"), F.lit(0))
+    return F.coalesce(pieces, F.array().cast("array<string>"))
 
 
 def rejoin(pieces: Column) -> Column:

@@ -1,5 +1,6 @@
 """Scalar expressions against Python's own behaviour and fixed values."""
 
+import time
 from urllib.parse import quote_plus
 
 import pytest
@@ -7,8 +8,8 @@ from pyspark.sql import functions as F
 
 from mediasignal.functions import dates, text, themes, urls
 from mediasignal.functions.html import add_main_text
-from mediasignal.operators.membership import key_filter, may_hold
 from mediasignal.operators.entities import money_amounts
+from mediasignal.operators.membership import key_filter, may_hold
 
 
 def column(spark, values, expr, kind="string"):
@@ -186,3 +187,13 @@ def test_key_filter(spark):
     full = may_hold(rows, "url", key_filter(rows, "url", 1), 1)  # far too many keys: none is lost
     assert full.columns == ["url", "block"] and full.count() == 40_000
     assert may_hold(rows, "url", key_filter(keys.limit(0), "u", 8), 8).count() == 0
+
+
+def test_chunks_of_long_texts(spark):
+    texts = ["", None, "a", "ab" * 4500, "é😀\n" * 5000, "\r\n\u2028" * 3001]
+    got = column(spark, texts, lambda c: text.chunks(c, 4500))
+    assert got == [[t[i:i + 4500] for i in range(0, len(t or ""), 4500)] if t else [] for t in texts]
+    long = spark.range(1).select(F.expr("repeat('é😀x ', 4000000)").alias("t"))
+    start = time.perf_counter()
+    assert long.select(F.size(text.chunks(F.col("t"), 4500))).first()[0] == 3556
+    assert time.perf_counter() - start < 20  # seeking each piece from the start takes minutes
