@@ -6,6 +6,8 @@ Java and in RE2 engines.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,6 +64,11 @@ def words_lower(text: Column) -> Column:
         F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def cap(text: Column, chars: int) -> Column:
     return F.left(text, F.lit(chars))
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from mediasignal.config import PipelineConfig
 from mediasignal.functions.text import sorted_set
-from mediasignal.operators.lookup import entries, is_bounded, lookup_join
-from mediasignal.session import staged
+from mediasignal.operators.lookup import entries
+from mediasignal.operators.phrases import phrase_runs
 
 # A word may hold inner punctuation ("Coca-Cola", "J.P", "AT&T") but not end in it.
 NAME_WORD = r"[\p{L}\p{N}#_]+(?:[&.'-][\p{L}\p{N}#_]+)*"
@@ -96,40 +96,9 @@ def _in_row(df: DataFrame, text: str, phrases: list[str], only_longest: bool) ->
 
 
 def _by_join(df: DataFrame, source: DataFrame, key: str, text: str, table: DataFrame, config: PipelineConfig) -> DataFrame:
-    """Word runs that a phrase table of any size has, as a walk down the tree of its words.
-
-    The nodes of the tree are the beginnings of phrases. Every word is looked up
-    among the first words, and only starts that are found go on, by one word a
-    level, as long as what they have read begins a phrase. So a word that starts
-    no phrase costs one row and nothing more.
-    """
-    parts = F.split("phrase", " ")
-    begun = (table.select("phrase").where(F.col("phrase") != "").select(parts.alias("parts"))
-             .select("parts", F.explode(F.sequence(F.lit(1), F.size("parts"))).alias("n"))
-             .select("n", F.array_join(F.slice("parts", F.lit(1), F.col("n")), " ").alias("run"), (F.col("n") == F.size("parts")).alias("whole")))
-    nodes = staged(begun.groupBy("n", "run").agg(F.max("whole").alias("whole")), "phrase-tree")
-    bounded, longest = is_bounded(nodes, config), nodes.agg(F.max("n")).first()[0] or 1
-
-    def known(runs: DataFrame, n: int) -> DataFrame:
-        level = nodes.where(F.col("n") == n).select("run", "whole")
-        return staged(lookup_join(runs, level, "run", "inner", [key, "pos"], config, bounded), "runs")
-
+    """Word runs that a phrase table of any size has; see ``phrase_runs``."""
     words = source.select(key, name_words(F.col(text)).alias("words"))
-    if bounded:  # nothing is shuffled, so the words behind may come along
-        each = F.transform("words", lambda w, i: F.struct(
-            i.alias("pos"), w.alias("run"), F.slice("words", i + 2, F.lit(longest - 1)).alias("rest")))
-        alive = known(words.select(key, F.explode(each).alias("at")).select(key, "at.*"), 1)
-    else:
-        starts = known(words.select(key, F.posexplode("words").alias("pos", "run")), 1)
-        alive = staged(words.join(starts.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key"))).select(
-            key, "pos", "run", "whole", F.slice("words", F.col("pos") + 2, F.lit(longest - 1)).alias("rest")), "starts")
-    found = []
-    for n in range(1, longest + 1):
-        found.append(alive.where("whole").select(key, "pos", F.lit(n).alias("n"), "run"))
-        if n < longest:
-            alive = known(alive.where(F.size("rest") >= n).select(
-                key, "pos", "rest", F.concat_ws(" ", "run", F.col("rest")[n - 1]).alias("run")), n + 1)
-    matches = reduce(DataFrame.unionByName, found)
+    matches, longest = phrase_runs(words, key, table.select("phrase").where(F.col("phrase") != ""), config)
     if config.entity_longest:
         ends = matches.groupBy(key, "pos").agg(F.max(F.struct("n", "run")).alias("m"))
         names = (ends.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "m.n", "m.run"))).alias("_names"))
