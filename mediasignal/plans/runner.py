@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from mediasignal import schemas
 from mediasignal.config import PipelineConfig
 from mediasignal.functions import dates
-from mediasignal.operators.quality import drop_details, label_details, request_details, stage_summary
+from mediasignal.operators.quality import Written, count_of, drop_summary, label_summary, request_summary, summary_row
 from mediasignal.operators.score import score
 from mediasignal.operators.sentiment import LABEL
 from mediasignal.plans.collect import collect, found_articles, replies_of_week
@@ -38,16 +38,20 @@ def run_stages(datasets: Datasets, responses: DataFrame | None = None, pages: Da
 
     The summary counts the week's replies and articles for *collect*, articles
     and those with a sentiment label for *enrich*, rows read and rollup rows for
-    *score*; ``details`` names usable replies, labels and dropped rows.
+    *score*; ``details`` names usable replies, labels and dropped rows. What a stage
+    writes is counted by the tasks that write it, not read again.
     """
     config = config or PipelineConfig()
     unknown = set(stages) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stage(s): {sorted(unknown)}")
+    spark = datasets.spark
     summaries = []
     base: DataFrame | None = None
+    found: int | None = None  # rows of base, where the run knows them
     day = None if every_week else _as_date(run_date)
     by = "run_week" if keep_weeks else None
+    whole = by is None or day is not None  # what a run writes is all that is read back
 
     def of_week(stored: DataFrame) -> DataFrame:
         if by is None or day is None:
@@ -60,27 +64,33 @@ def run_stages(datasets: Datasets, responses: DataFrame | None = None, pages: Da
 
     if "collect" in stages:
         asked = replies_of_week(responses, day)
-        wrote = datasets.write(config.raw_dataset, with_week(collect(responses, day)), on_empty="skip",
+        written = Written(with_week(collect(responses, day)))
+        wrote = datasets.write(config.raw_dataset, written.rows, on_empty="skip",
                                partition_by=by, probe=found_articles(responses, day))
-        stored = of_week(datasets.read(config.raw_dataset)) if wrote else None
-        base = stored if stored is not None else datasets.spark.createDataFrame([], schemas.ARTICLES_RAW)
-        summaries.append(stage_summary("collect", asked, base, request_details(asked)))
+        base = of_week(datasets.read(config.raw_dataset)) if wrote else spark.createDataFrame([], schemas.ARTICLES_RAW)
+        found = (written.counts()["rows"] if whole else base.count()) if wrote else 0
+        summaries.append(summary_row("collect", request_summary(asked), count_of(spark, found, "rows_out")))
 
     if "enrich" in stages:
         if base is None:
             base = of_week(datasets.read(config.raw_dataset))
-        with staging_scope(datasets.spark):
-            result = with_week(enrich(base, pages, config, few=True))
-            wrote = datasets.write(config.enriched_dataset, result, on_empty="skip", partition_by=by, probe=base)
-        done = (of_week(datasets.read(config.enriched_dataset)) if wrote
-                else datasets.spark.createDataFrame([], result.schema))
-        labelled = done.where(F.col(f"`{LABEL}`").isNotNull())
-        summaries.append(stage_summary("enrich", base, labelled, label_details(labelled)))
+        if found is None:
+            found = base.count()
+        with staging_scope(spark):
+            written = Written(with_week(enrich(base, pages, config, few=True)), labels=True)
+            wrote = datasets.write(config.enriched_dataset, written.rows, on_empty="skip", partition_by=by, probe=base)
+        done = written.label_summary(spark) if wrote and whole else None
+        if done is None:
+            stored = of_week(datasets.read(config.enriched_dataset)) if wrote else spark.createDataFrame([], written.rows.schema)
+            done = label_summary(stored)
+        summaries.append(summary_row("enrich", count_of(spark, found, "rows_in"), done))
 
     if "score" in stages:
         enriched = datasets.read(config.enriched_dataset)
-        datasets.write(config.rollup_dataset, score(enriched, config), on_empty="write")
-        summaries.append(stage_summary("score", enriched, datasets.read(config.rollup_dataset), drop_details(enriched)))
+        written = Written(score(enriched, config))
+        datasets.write(config.rollup_dataset, written.rows, on_empty="write")
+        rows = count_of(spark, written.counts()["rows"], "rows_out")
+        summaries.append(summary_row("score", drop_summary(enriched), rows))
 
     return reduce(DataFrame.unionByName, summaries)
 

@@ -229,3 +229,33 @@ def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in ("bucketed_articles", "bucketed_texts", "bucketed_results"):
             spark.sql(f"drop table if exists {name}")
+
+
+def test_what_is_written_is_counted_while_it_is_written(spark, store, monkeypatch):
+    reads = []
+    read = Datasets.read
+    monkeypatch.setattr(Datasets, "read", lambda self, name, *a, **k: reads.append(name) or read(self, name, *a, **k))
+    summary = run_stages(store, replies(spark, datetime.date(2024, 1, 10)), landed(spark, 3), CONFIG, "2024-01-12", keep_weeks=True)
+    assert reads == [CONFIG.raw_dataset, CONFIG.enriched_dataset]  # by the stages themselves
+    for name in (CONFIG.raw_dataset, CONFIG.rollup_dataset):
+        assert store.path(name) not in summary._jdf.queryExecution().optimizedPlan().toString()
+    want = [("collect", 1, 4, 400.0, "usable=1"), ("enrich", 4, 4, 100.0, "[failed - no content]=1, bullish=3"),
+            ("score", 4, 1, 25.0, "bad_score_or_date=1, duplicate_urls=0")]
+    got = [tuple(r) for r in summary.collect()]
+    assert got[0] == want[0] and got[1][:4] == want[1][:4] and got[2][:3] == want[2][:3], got
+
+
+def test_labels_of_a_model_are_counted_from_the_table(spark, store):
+    rows = replies(spark, datetime.date(2024, 1, 10))
+    config = replace(CONFIG, sentiment_model=lambda: lambda texts: [("Upbeat", 0.9) for _ in texts])
+    got = run_stages(store, rows, landed(spark), config, "2024-01-12").collect()
+    assert tuple(got[1]) == ("enrich", 4, 4, 100.0, "upbeat=4")
+
+
+def test_counts_of_an_empty_rollup(spark, store):
+    run_stages(store, replies(spark, datetime.date(2024, 1, 10)), landed(spark), CONFIG, "2024-01-10", stages=["collect", "enrich"])
+    none = store.read(CONFIG.enriched_dataset).where("URL = 'none'")
+    schema = none.schema
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(store.path(CONFIG.enriched_dataset))
+    got = run_stages(store, config=CONFIG, stages=["score"]).collect()
+    assert [tuple(r) for r in got] == [("score", 0, 0, 0.0, "bad_score_or_date=0, duplicate_urls=0")]
