@@ -657,6 +657,47 @@ def _(spark, d):
         "id", F.col("out").alias("body"))
 
 
+# The best cover of a piece by runs of two and three words, from the last word to the first: b1, b2 and b3 are the worth
+# (a million for a word covered, minus one for a run) of what begins 0, 1 and 2 words behind; then from the first word on.
+PHRASE_SQL = f"""
+select t.id, coalesce(f.body, t.body) as body from fx_texts t left join (
+  with recursive runs as (select distinct array_to_string(w[i:i + k - 1], ' ') as src, k from (
+      select w, unnest(range(1, len(w) + 1)) as i from (select string_split(text, ' ') as w from benchmark)),
+      (values (2), (3)) as sizes(k) where i + k - 1 <= len(w)),
+  cut as (select id, unnest(p) as piece, unnest(range(len(p))) as pos from (select id, {o.chunks('body')} as p from fx_texts)),
+  pieces as materialized (select id, pos, string_split(piece, ' ') as w, len(w) as n from cut),
+  places as (select id, pos, unnest(range(n)) as i from pieces),
+  opts as materialized (select id, pos, i, bool_or(two.src is not null) as t2, bool_or(three.src is not null) as t3
+    from places join pieces using (id, pos)
+    left join runs two on two.k = 2 and i + 2 <= n and two.src = array_to_string(w[i + 1:i + 2], ' ')
+    left join runs three on three.k = 3 and i + 3 <= n and three.src = array_to_string(w[i + 1:i + 3], ' ')
+    group by id, pos, i),
+  back as (select id, pos, n as i, 0::bigint as b1, 0::bigint as b2, 0::bigint as b3, 0 as take from pieces
+    union all
+    select id, pos, i, greatest(v1, v2, v3), v1, b2, case when v3 >= greatest(v1, v2) then 3 when v2 >= v1 then 2 else 0 end
+    from (select b.id, b.pos, b.i - 1 as i, b1 as v1, if(t2, b2 + 1999999, -1) as v2, if(t3, b3 + 2999999, -1) as v3, b2
+      from back b join opts o on o.id = b.id and o.pos = b.pos and o.i = b.i - 1)),
+  taken as materialized (select id, pos, i, take from back),
+  walk as (select id, pos, i, take from taken where i = 0
+    union all
+    select t.id, t.pos, t.i, t.take from walk v join taken t on t.id = v.id and t.pos = v.pos and t.i = v.i + greatest(v.take, 1)),
+  done as (select id, pos, string_agg(if(take = 0, w[i + 1], array_to_string(w[i + 1:i + take], '_')), ' ' order by i) as part
+    from walk join pieces using (id, pos) where i < n group by id, pos)
+  select id, string_agg(part, ' ' order by pos) as body from done group by id) f on f.id = t.id"""
+
+
+@query("nlp_translate_phrases", PHRASE_SQL)
+def _(spark, d):
+    """Phrases are all runs of two and three words of the benchmark passages, so that they overlap everywhere in a passage."""
+    words = spark.read.parquet(f"{d}/benchmark.parquet").select(F.split("text", " ").alias("w"))
+    each = words.select("w", F.posexplode("w").alias("i", "_")).select("w", "i", F.explode(F.array(F.lit(2), F.lit(3))).alias("k"))
+    src = each.where(F.col("i") + F.col("k") <= F.size("w")).select(
+        F.array_join(F.slice("w", F.col("i") + 1, F.col("k")), " ").alias("src")).distinct()
+    table = src.withColumn("dst", F.replace("src", F.lit(" "), F.lit("_")))
+    config = replace(CONFIG, lexicon=table, inline_entries=0)
+    return add_translation(_texts(spark, d), "id", "body", "out", config).select("id", F.col("out").alias("body"))
+
+
 SENTIMENT_SQL = with_texts(f"select key as id, label as {LABEL_Q}, score as {SCORE_Q} from (" + o.sentiment("__T__") + ")")
 
 
