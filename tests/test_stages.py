@@ -116,6 +116,22 @@ def test_incremental_equals_batch(spark, tmp_path):
     assert got == sorted(map(str, enrich(total, pages, CONFIG).collect())) and len(got) == 9
 
 
+def test_the_sink_is_read_once_a_checkpoint(spark, tmp_path, monkeypatch):
+    from mediasignal.streaming import incremental
+
+    landing, sink, mark = (str(tmp_path / n) for n in ("landing", "sink", "mark"))
+    reads, read = [], incremental.stored
+    monkeypatch.setattr(incremental, "stored", lambda *a: reads.append(a) or read(*a))
+    for day in ("2024-01-05", "2024-01-06"):
+        rows = [(day, t, u, "d", None, "k") for t in ("b", None, "a") for u in ("https://a.example/1", None, f"https://a.example/{day}")]
+        spark.createDataFrame(rows, ARTICLES_RAW).coalesce(1).write.mode("append").parquet(landing)
+        enrich_new_files(spark, landing, landed(spark), sink, mark, CONFIG)
+    assert len(reads) == 1
+    got = sorted(((r.URL or "", r.Date, r.Title) for r in read_enriched(spark, sink).collect()))
+    assert got == [("", "2024-01-05", None), ("https://a.example/1", "2024-01-05", None),
+                   ("https://a.example/2024-01-05", "2024-01-05", None), ("https://a.example/2024-01-06", "2024-01-06", None)]
+
+
 def test_first_landed_copy_counts_and_new_checkpoints_keep_the_sink(spark, tmp_path):
     landing, sink = str(tmp_path / "landing"), str(tmp_path / "sink")
     pages = landed(spark, 9)
