@@ -146,6 +146,9 @@ SPREAD_KEYS = {"documents": ["doc_id"], "conversations": ["conv_id", "turn"], "p
                "events": ["event_id"], "orders": ["o_orderkey"]}
 
 
+#: Tables that a fixture joins row by row and that grow with it: never broadcast there, though their files are small.
+MERGED = {"fx_mentions": ["customer"]}
+
 _schemas: dict = {}
 
 
@@ -168,7 +171,8 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = SQL[name]
     for source in TABLES:
         if re.search(rf"\b{source}\b", text):
-            table(spark, sf_dir, source).createOrReplaceTempView(source)
+            df = table(spark, sf_dir, source)
+            (df.hint("merge") if source in MERGED.get(name, ()) else df).createOrReplaceTempView(source)
     for need in _NEEDS[name]:
         fixture(spark, sf_dir, need).createOrReplaceTempView(need)
     return spark.sql(text)

@@ -13,6 +13,7 @@ from mediasignal.config import PipelineConfig
 from mediasignal.functions.text import sorted_set
 from mediasignal.operators.lookup import entries
 from mediasignal.operators.phrases import phrase_runs
+from mediasignal.session import staged
 
 # A word may hold inner punctuation ("Coca-Cola", "J.P", "AT&T") but not end in it.
 NAME_WORD = r"[\p{L}\p{N}#_]+(?:[&.'-][\p{L}\p{N}#_]+)*"
@@ -98,14 +99,15 @@ def _in_row(df: DataFrame, text: str, phrases: list[str], only_longest: bool) ->
 def _by_join(df: DataFrame, source: DataFrame, key: str, text: str, table: DataFrame, config: PipelineConfig) -> DataFrame:
     """Word runs that a phrase table of any size has; see ``phrase_runs``."""
     words = source.select(key, name_words(F.col(text)).alias("words"))
-    matches, longest = phrase_runs(words, key, table.select("phrase").where(F.col("phrase") != ""), config)
+    matches, longest = phrase_runs(words, key, table.select("phrase").where(F.col("phrase") != ""), config, staged)
     if config.entity_longest:
         ends = matches.groupBy(key, "pos").agg(F.max(F.struct("n", "run")).alias("m"))
         names = (ends.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "m.n", "m.run"))).alias("_names"))
                  .withColumn("_names", _maximal(F.col("_names"), longest)))
     else:
         names = matches.groupBy(key).agg(F.collect_set("run").alias("_names"))
-    return (df.join(names, key, "left")
+    # A merge join: the names grow with the texts, and their stored runs are far smaller than they are.
+    return (df.join(names.hint("merge"), key, "left")
             .withColumn("_names", F.coalesce("_names", F.array().cast("array<string>"))))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,8 @@ from mediasignal.operators.lookup import is_bounded, lookup_join
 from mediasignal.session import staged
 
 
-def phrase_runs(words: DataFrame, key: str, table: DataFrame, config: PipelineConfig) -> tuple[DataFrame, int]:
+def phrase_runs(words: DataFrame, key: str, table: DataFrame, config: PipelineConfig,
+                store: Callable[[DataFrame, str], DataFrame] = staged) -> tuple[DataFrame, int]:
     """Word runs that a phrase table of any size has, and the most words that a phrase has.
 
     ``words`` has ``key`` and the array ``words``; ``table`` has ``phrase`` (words
@@ -23,7 +25,9 @@ def phrase_runs(words: DataFrame, key: str, table: DataFrame, config: PipelineCo
     The nodes of the tree are the beginnings of phrases. Every word is looked up
     among the first words, and only starts that are found go on, by one word a
     level, as long as what they have read begins a phrase. So a word that starts
-    no phrase costs one row and nothing more.
+    no phrase costs one row and nothing more. With a table that isn't broadcast,
+    the starts of a text are gathered before they meet its words, so a text
+    travels once however many starts it has. ``store`` writes a level's table.
     """
     parts = F.split("phrase", " ")
     value = F.col("value") if "value" in table.columns else F.lit(None).cast("string")
@@ -31,13 +35,13 @@ def phrase_runs(words: DataFrame, key: str, table: DataFrame, config: PipelineCo
              .select("parts", "value", F.explode(F.sequence(F.lit(1), F.size("parts"))).alias("n"))
              .select("n", F.array_join(F.slice("parts", F.lit(1), F.col("n")), " ").alias("run"),
                      (F.col("n") == F.size("parts")).alias("whole"), "value"))
-    nodes = staged(begun.groupBy("n", "run").agg(
+    nodes = store(begun.groupBy("n", "run").agg(
         F.max("whole").alias("whole"), F.min(F.when(F.col("whole"), F.col("value"))).alias("value")), "phrase-tree")
     bounded, longest = is_bounded(nodes, config), nodes.agg(F.max("n")).first()[0] or 1
 
     def known(runs: DataFrame, n: int) -> DataFrame:
         level = nodes.where(F.col("n") == n).select("run", "whole", "value")
-        return staged(lookup_join(runs, level, "run", "inner", [key, "pos"], config, bounded), "runs")
+        return store(lookup_join(runs, level, "run", "inner", [key, "pos"], config, bounded), "runs")
 
     if bounded:  # nothing is shuffled, so the words behind may come along
         each = F.transform("words", lambda w, i: F.struct(
@@ -45,8 +49,11 @@ def phrase_runs(words: DataFrame, key: str, table: DataFrame, config: PipelineCo
         alive = known(words.select(key, F.explode(each).alias("at")).select(key, "at.*"), 1)
     else:
         starts = known(words.select(key, F.posexplode("words").alias("pos", "run")), 1)
-        alive = staged(words.join(starts.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key"))).select(
-            key, "pos", "run", "whole", "value", F.slice("words", F.col("pos") + 2, F.lit(longest - 1)).alias("rest")), "starts")
+        of_text = starts.groupBy(F.col(key).alias("_key")).agg(
+            F.collect_list(F.struct("pos", "run", "whole", "value")).alias("_starts"))
+        with_rest = F.transform("_starts", lambda s: s.withField("rest", F.slice("words", s["pos"] + 2, F.lit(longest - 1))))
+        alive = store(words.join(of_text.hint("merge"), F.col(key).eqNullSafe(F.col("_key"))).select(
+            key, F.explode(with_rest).alias("at")).select(key, "at.*"), "starts")
     found = []
     for n in range(1, longest + 1):
         found.append(alive.where("whole").select(key, "pos", F.lit(n).alias("n"), "run", "value"))

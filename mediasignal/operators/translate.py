@@ -119,7 +119,7 @@ def _phrases_by_join(chunk: DataFrame, key: str, lexicon: DataFrame, config: Pip
               .groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("pos", "runs"))).alias("_starts")))
     new = F.when(F.col("_starts").isNotNull(), replace_runs(
         F.split("_piece", " "), best_cover(F.col("_starts"), longest))).otherwise(F.col("_piece"))
-    return (chunk.join(starts.withColumnRenamed("_id", "_same"), F.col("_id").eqNullSafe(F.col("_same")), "left")
+    return (chunk.join(starts.withColumnRenamed("_id", "_same").hint("merge"), F.col("_id").eqNullSafe(F.col("_same")), "left")
             .select(key, "_pos", tx.bind(new, lambda t: or_as_it_was(t, F.col("_piece"))).alias("_t")))
 
 
