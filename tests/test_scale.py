@@ -8,6 +8,7 @@ from checks import fixtures as fx
 from mediasignal.config import PipelineConfig
 from mediasignal.operators.entities import add_entities
 from mediasignal.operators.lookup import lookup_join
+from mediasignal.operators.phrases import phrase_runs
 from mediasignal.session import staged
 
 CONFIG = PipelineConfig()
@@ -47,3 +48,18 @@ def test_customers_of_the_mentions_are_not_broadcast(spark, tmp_path):
     rows = fx.fixture(spark, d, "fx_mentions")
     assert plan(rows).count("SortMergeJoin") == 1
     assert [tuple(r) for r in rows.collect()] == [("o1", "Ann, based in PERU, owes €1,200.50; AMERICA and PERU agree.")]
+
+
+def test_starts_of_phrases_meet_their_texts_in_a_merge_join(spark):
+    plans = {}
+
+    def store(rows, name):
+        plans[name] = plan(rows)
+        return staged(rows, name)
+
+    words = staged(spark.createDataFrame([("a", "x World Bank y".split()), ("b", ["World"])], "id string, words array<string>"), "words")
+    table = spark.createDataFrame([("World Bank",), ("World",)], "phrase string")
+    found, longest = phrase_runs(words, "id", table, replace(CONFIG, broadcast_rows=0), store)
+    assert "SortMergeJoin" in plans["starts"] and "Broadcast" not in plans["starts"]
+    assert longest == 2 and sorted(found.select("id", "pos", "n", "run").collect()) == [
+        ("a", 1, 1, "World"), ("a", 1, 2, "World Bank"), ("b", 0, 1, "World")]
