@@ -83,9 +83,13 @@ def _in_row(df: DataFrame, text: str, phrases: list[str], only_longest: bool) ->
 
     def match(i: Column) -> list[Column]:
         def run(n: int) -> Column:
-            return F.array_join(F.slice(words, i, n), " ")
+            return F.get(words, i - 1) if n == 1 else F.array_join(F.slice(words, i, n), " ")
 
-        return [F.when(run(n).isin(by_size[n]), F.struct(i.alias("pos"), F.lit(n).alias("n"), run(n).alias("run")))
+        def known(n: int) -> Column:  # the last word is cheaper to look at than the whole run
+            last = F.get(words, i + (n - 2)).isin(sorted({p.split(" ")[-1] for p in by_size[n]}))
+            return run(n).isin(by_size[n]) if n == 1 else last & run(n).isin(by_size[n])
+
+        return [F.when(known(n), F.struct(i.alias("pos"), F.lit(n).alias("n"), run(n).alias("run")))
                 for n in sorted(by_size, reverse=True)]
 
     starts = F.filter(F.transform(words, lambda w, i: F.when(w.isin(first), i + 1)), lambda i: i.isNotNull())

@@ -49,14 +49,17 @@ def add_translation(df: DataFrame, key: str, text: str, out: str, config: Pipeli
         return df.withColumn(out, tx.rejoin(pieces))
     literal = F.create_map(*[F.lit(x) for pair in words.items() for x in pair])
     if any(" " in src for src in words):
-        done = F.transform(pieces, _phrases_in_row(words, literal))
-        return df.withColumn(out, tx.rejoin(F.zip_with(done, pieces, or_as_it_was)))
+        return df.withColumn(out, tx.rejoin(each_piece(pieces, _phrases_in_row(words, literal))))
 
     def word(w: Column) -> Column:
         return F.when(w.isin(list(words)), literal[w]).otherwise(w)
 
-    done = F.transform(pieces, lambda p: replace_words(p, word))
-    return df.withColumn(out, tx.rejoin(F.zip_with(done, pieces, or_as_it_was)))
+    return df.withColumn(out, tx.rejoin(each_piece(pieces, lambda p: replace_words(p, word))))
+
+
+def each_piece(pieces: Column, translated: Callable[[Column], Column]) -> Column:
+    """The pieces, cut once, each translated or as it was."""
+    return tx.bind(pieces, lambda cut: F.zip_with(F.transform(cut, translated), cut, or_as_it_was))
 
 
 def replace_words(piece: Column, word: Callable[[Column], Column]) -> Column:

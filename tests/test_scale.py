@@ -11,6 +11,7 @@ from mediasignal.functions import html
 from mediasignal.operators.entities import add_entities
 from mediasignal.operators.lookup import lookup_join
 from mediasignal.operators.phrases import phrase_runs
+from mediasignal.operators.translate import add_translation
 from mediasignal.session import staged
 
 CONFIG = PipelineConfig()
@@ -88,3 +89,14 @@ def test_page_texts_of_more_rows_than_a_batch(spark):
     got = html.add_main_text(pages, "html", "x")
     wrong = got.where(F.col("x") != F.when(F.col("id") % 7 > 0, F.format_string("t%d", "id")).otherwise(""))
     assert got.count() == 25_000 and wrong.count() == 0
+
+
+# ------------------------------------------------------------------ work per text
+def test_a_text_is_cut_once_and_names_end_in_their_text(spark):
+    df = spark.createDataFrame([("und of the", ), ("of",), ("of the of",), ("und xyz der",)], "t string")
+    done = add_translation(df, "t", "t", "x", replace(CONFIG, chunk_chars=4))
+    optimized = done._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("regexp_extract_all(") == 1
+    assert [r.x for r in done.collect()] == ["and  of t he", "of", "of t he o f", "and  xyz  the"]
+    config = replace(CONFIG, gazetteer={"of the": "ORG", "of": "GPE", "the of und": "ORG"})
+    assert [r.x for r in add_entities(df, "t", "t", "x", config).collect()] == ["of, of the", "of", "of, of the", ""]
