@@ -1,5 +1,6 @@
 """What a driver or a task holds doesn't grow with the tables."""
 
+import tracemalloc
 from dataclasses import replace
 
 import pyarrow as pa
@@ -84,6 +85,21 @@ def test_page_texts_are_handed_on_in_pieces():
     assert sizes == [1000, 201, 1000, 299, 3] and seen == [2500, 0, 3]
 
 
+def test_what_a_task_holds_of_page_texts_does_not_grow_with_the_rows_of_a_batch():
+    def peak(rows):
+        pages = pa.array([f"<p>{'long ' * 400}</p>"] * rows, pa.string())
+        tracemalloc.start()
+        try:
+            texts = html._raw_texts(iter([pages]))
+            assert sum(len(t) for t in texts) == rows
+            return tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    peak(10)  # what is made once
+    assert peak(6000) < 1.2 * peak(1500)
+
+
 def test_page_texts_of_more_rows_than_a_batch(spark):
     pages = spark.range(0, 25_000, 1, 1).select("id", F.when(F.col("id") % 7 > 0, F.format_string("<p>t%d</p>", "id")).alias("html"))
     got = html.add_main_text(pages, "html", "x")
